@@ -11,9 +11,14 @@ def fixed_point(value: Column, digits: int) -> Column:
     """``%.Nf`` with ties broken on the exact binary value, to the even digit.
 
     ``format_number`` rounds that way while ``format_string`` rounds half up; it
-    also groups thousands, which a report does not.
+    also groups thousands, which a report does not. It is wrong for half of the
+    last digit alone, which is thus written out.
     """
-    return F.regexp_replace(F.format_number(value.cast("double"), digits), ",", "")
+    half = 5 / 10 ** (digits + 1)
+    number = value.cast("double")
+    return F.when(number == half, F.lit(f"{half:.{digits}f}")).otherwise(
+        F.regexp_replace(F.format_number(number, digits), ",", "")
+    )
 
 
 def model_report(eval_set: Column) -> Column:

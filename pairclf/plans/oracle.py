@@ -274,3 +274,4 @@ SELECT run::bigint AS run, event_type AS word, sum(user_id)::bigint AS total,
        event_type || chr(9) || sum(user_id)::bigint || ' occurences' AS line
 FROM runs GROUP BY run, event_type""",
 }
+ORACLE["word_totals_stream"] = ORACLE["word_totals"]

@@ -44,6 +44,7 @@ from ..sources.feature_files import (
     write_feature_files,
 )
 from ..sources.result_files import best_model_json
+from ..streaming.count_lines import totals_of_available
 from .tournament import Tournament, run_sweep, run_tournament
 
 # ---------------------------------------------------------------- inputs
@@ -70,10 +71,13 @@ def second_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _features(spark, sf_dir, lambda v: F.floor(v.cast("double") * 10).cast("double"))
 
 
+def _count_line() -> Column:
+    return F.concat(F.lit(" "), F.col("event_type"), F.lit("\t"), F.col("user_id").cast("string"))
+
+
 def count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as ``word count`` lines, with their position."""
-    line = F.concat(F.lit(" "), F.col("event_type"), F.lit("\t"), F.col("user_id").cast("string"))
-    return _table(spark, sf_dir, "events").select("event_id", line.alias("value"))
+    return _table(spark, sf_dir, "events").select("event_id", _count_line().alias("value"))
 
 
 # ---------------------------------------------------------------- trained runs
@@ -341,6 +345,12 @@ def word_run_totals_query(spark, sf_dir):
     return word_run_totals(lines, "event_id")
 
 
+def word_totals_stream(spark, sf_dir):
+    schema = _table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+    return totals_of_available(parse_count_lines(events.select(_count_line().alias("value"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_scan": feature_scan,
     "feature_table": feature_table,
@@ -381,4 +391,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "misclassified_by_vector": misclassified_by_vector_query,
     "word_totals": word_totals_query,
     "word_run_totals": word_run_totals_query,
+    "word_totals_stream": word_totals_stream,
 }

@@ -54,8 +54,10 @@ def run_tournament(
     ``second`` is a further source that the one-against-the-rest models are also
     scored on, as ``eval_set`` ``all``; models are chosen on ``test`` alone.
     """
-    tasks = task_table(features, pair_percents, rest_percents)
+    # Classes, split sizes and label frequencies all come from this small table, so
+    # the rows are read once for counting and once for packing.
     counts = write_table(bucket_counts(with_bucket(features)), "bucket-counts")
+    tasks = task_table(counts, pair_percents, rest_percents)
     label_counts = write_table(task_label_counts(counts, tasks), "label-counts")
     rows = counts.groupBy().sum("n").first()[0] or 0
     size = vector_size(features)

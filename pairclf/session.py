@@ -34,13 +34,17 @@ def shared_dir(spark: SparkSession) -> str:
     folder. On a cluster a machine-local folder would lose data, so that raises.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="pairclf-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="pairclf-")
+    return _local_dirs[context.applicationId]
+
+
+_local_dirs: dict[str, str] = {}
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:

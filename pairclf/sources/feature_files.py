@@ -41,14 +41,46 @@ def parse_feature_records(records: DataFrame, strict: bool = False) -> DataFrame
     )
 
 
+def empty_files(spark: SparkSession, path: str) -> DataFrame:
+    """Names of the files without any byte, which Spark's own readers pass over.
+
+    A listing of names and sizes only, made by one task without reading a file.
+    """
+    open_path = _file_system()
+
+    def list_empty(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for _ in batches:
+            pass
+        files, root = open_path(path)
+        found = files.get_file_info(fs.FileSelector(root))
+        names = [entry.base_name for entry in found if entry.type == fs.FileType.File and entry.size == 0]
+        yield pa.RecordBatch.from_pydict({"images": pa.array(names, pa.string())})
+
+    return spark.range(0, 1, 1, 1).mapInArrow(list_empty, "images string")
+
+
 def reject_records(records: DataFrame) -> DataFrame:
-    """The file names that hold no vector."""
+    """The records that hold no vector."""
     return records.filter(last_line(F.col("value")).isNull()).select(
         "images", F.lit("empty file").alias("reason")
     )
 
 
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The files of the directory that hold no vector: blank ones and empty ones."""
+    empty = empty_files(spark, path).withColumn("reason", F.lit("empty file"))
+    return reject_records(scan_feature_files(spark, path)).unionByName(empty)
+
+
 def read_feature_files(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """Feature table of a directory; ``strict`` raises when a file holds no vector."""
+    if strict:
+        empty = empty_files(spark, path).first()
+        if empty is not None:
+            raise ValueError(f"empty feature file: {empty['images']}")
     return parse_feature_records(scan_feature_files(spark, path), strict)
 
 
@@ -70,23 +102,30 @@ def write_feature_files(records: DataFrame, path: str) -> int:
     Each task writes the files of its own rows through the file system of the
     path, so a repeated task only writes the same content again.
     """
+    open_path = _file_system()
 
     def write(batches):
         import pyarrow as pa
-        from pyarrow import fs
 
-        files, root = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else "file://" + path)
+        files, root = open_path(path)
         for batch in batches:
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 with files.open_output_stream(f"{root}/{name}") as out:
                     out.write(value.encode())
             yield pa.RecordBatch.from_pydict({"written": [batch.num_rows]})
 
-    from pyarrow import fs as driver_fs
-
-    files, root = driver_fs.FileSystem.from_uri(
-        path if "://" in path or path.startswith("file:") else "file://" + path
-    )
+    files, root = open_path(path)
     files.create_dir(root, recursive=True)
     counts = records.select("images", "value").mapInArrow(write, "written bigint")
     return counts.agg(F.coalesce(F.sum("written"), F.lit(0))).first()[0]
+
+
+def _file_system():
+    """The function path -> (file system, path inside it), for driver and tasks."""
+
+    def open_path(path):
+        from pyarrow import fs
+
+        return fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
+
+    return open_path
