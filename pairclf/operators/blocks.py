@@ -11,7 +11,7 @@ from .splits import with_bucket
 
 BLOCK_SCHEMA = "label string, buckets binary, vectors binary"
 BLOCK_BYTES = 2 * 1024 * 1024
-PARTITION_BYTES = 64 * 1024 * 1024
+PARTITION_BYTES = 16 * 1024 * 1024
 
 
 def vector_size(features: DataFrame) -> int:

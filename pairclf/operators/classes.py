@@ -21,10 +21,14 @@ class Grid:
     step_sizes: Sequence[float] = field(default_factory=lambda: list(STEP_SIZES))
     reg_params: Sequence[float] = field(default_factory=lambda: list(REG_PARAMS))
 
-    def model_number(self, iteration: int, step: float, reg: float) -> int:
-        steps, regs = len(self.step_sizes), len(self.reg_params)
-        position = self.iterations.index(iteration) * steps + self.step_sizes.index(step)
-        return position * regs + self.reg_params.index(reg) + 1
+    def parameters(self) -> list[tuple[float, float]]:
+        """Step size and regularisation of every run; iteration limits are its snapshots."""
+        return [(float(step), float(reg)) for step in self.step_sizes for reg in self.reg_params]
+
+    def numbers(self) -> dict[tuple[int, float, float], int]:
+        """Model number of every grid point."""
+        points = [(int(limit), *parameters) for limit in self.iterations for parameters in self.parameters()]
+        return {point: number for number, point in enumerate(points, start=1)}
 
 
 def class_list(features: DataFrame) -> DataFrame:
@@ -87,12 +91,10 @@ def grid_points(tasks: DataFrame, grid: Grid = Grid()) -> DataFrame:
     """Every task with every numbered grid point."""
     points = F.array(*[
         F.struct(
-            F.lit(grid.model_number(i, s, r)).alias("model_number"),
-            F.lit(int(i)).alias("numIter"),
-            F.lit(float(s)).alias("stepSize"),
-            F.lit(float(r)).alias("regParam"),
+            F.lit(number).alias("model_number"), F.lit(limit).alias("numIter"),
+            F.lit(step).alias("stepSize"), F.lit(reg).alias("regParam"),
         )
-        for i in grid.iterations for s in grid.step_sizes for r in grid.reg_params
+        for (limit, step, reg), number in grid.numbers().items()
     ])
     return tasks.withColumn("_point", F.explode(points)).select(*tasks.columns, "_point.*")
 

@@ -14,10 +14,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import islice
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.fixed_values import TOLERANCE
 from ..session import new_table_path
@@ -28,9 +29,12 @@ MODEL_SCHEMA = (
     "class1_index int, model_number int, numIter int, stepSize double, regParam double, "
     "iterations_run int, weights array<double>"
 )
-# Bounds of what the driver holds: the weights of one chunk of runs, and the
-# partial sums of a pass. Beyond the first, runs are trained in further chunks;
-# beyond the second, the sums are made by a shuffle.
+# Rows up to this size are broadcast and the tasks spread over the cluster; beyond
+# it the rows stay where they are and the weights are broadcast, pass by pass.
+BROADCAST_BYTES = 8 * 1024 * 1024
+# Bounds of what the driver holds in the passes: the weights of one chunk of runs,
+# and the partial sums of a pass. Beyond the first, runs are trained in further
+# chunks; beyond the second, the sums are made by a shuffle.
 CHUNK_BYTES = 64 * 1024 * 1024
 PARTIALS_BYTES = 64 * 1024 * 1024
 
@@ -39,96 +43,189 @@ def train(
     blocks: DataFrame,
     tasks: DataFrame,
     size: int,
+    rows: int,
     grid: Grid = Grid(),
     tolerance: float = TOLERANCE,
+    broadcast_bytes: int = BROADCAST_BYTES,
     chunk_bytes: int = CHUNK_BYTES,
     partials_bytes: int = PARTIALS_BYTES,
 ) -> DataFrame:
     """Train every task at every grid point; returns the written table of models.
 
     ``tasks`` is :func:`splits.trainable_tasks`; ``blocks`` is
-    :func:`blocks.pack_blocks`. One Spark job per iteration serves all runs of a
-    chunk; rows are never copied per task.
+    :func:`blocks.pack_blocks` of ``rows`` rows. As with a join, the size decides
+    which side travels: few rows go to the tasks, few weights go to the rows.
+    Both ways give the same models, and rows are never copied per task.
     """
+    path = new_table_path(blocks.sparkSession, "models")
+    if rows * size * 8 <= broadcast_bytes:
+        _train_beside_rows(blocks, tasks, size, grid, tolerance, path)
+    else:
+        _train_in_passes(blocks, tasks, size, grid, tolerance, chunk_bytes, partials_bytes, path)
+    return blocks.sparkSession.read.schema(MODEL_SCHEMA).parquet(path)
+
+
+def _train_beside_rows(blocks, tasks, size, grid, tolerance, path) -> None:
+    """Every Spark task trains some of the tasks on the broadcast rows."""
+    context = blocks.sparkSession.sparkContext
+    rows = context.broadcast([tuple(row) for row in blocks.collect()])
+    schema = MODEL_SCHEMA.removeprefix("model_id bigint, ")
+    spread = tasks.repartition(context.defaultParallelism)
+    models = spread.mapInArrow(_trainer(rows, size, grid, tolerance), schema)
+    columns = [name.split()[0] for name in MODEL_SCHEMA.split(", ")]
+    models.withColumn("model_id", F.monotonically_increasing_id()).select(columns).write.parquet(path)
+    rows.unpersist()
+
+
+def _train_in_passes(blocks, tasks, size, grid, tolerance, chunk_bytes, partials_bytes, path) -> None:
+    """One Spark job per iteration serves all runs of a chunk."""
     spark = blocks.sparkSession
-    path = new_table_path(spark, "models")
+    model_table = _kernels().model_table
     spark.createDataFrame([], MODEL_SCHEMA).write.parquet(path)
-    parameters = [(s, r) for s in grid.step_sizes for r in grid.reg_params]
+    parameters = grid.parameters()
     per_run = 8 * size * (len(grid.iterations) + 3)
     in_chunk = max(1, chunk_bytes // (per_run * len(parameters)))
-    rows = tasks.orderBy(*TASK).toLocalIterator()
+    remaining = tasks.orderBy(*TASK).toLocalIterator()
     next_id = 0
-    while chunk := list(islice(rows, in_chunk)):
-        runs = [(task, step, reg) for task in chunk for step, reg in parameters]
-        for models in _descend(blocks, runs, size, grid, tolerance, partials_bytes):
-            table = _model_table(runs, models, grid, next_id)
+    while chunk := list(islice(remaining, in_chunk)):
+        runs = [(task.asDict(), step, reg) for task in chunk for step, reg in parameters]
+        for limit, weights, iterations_run in _passes(blocks, runs, size, grid, tolerance, partials_bytes):
+            table = model_table(runs, grid.numbers(), limit, weights, iterations_run)
+            ids = pa.array(range(next_id, next_id + table.num_rows), pa.int64())
             next_id += table.num_rows
+            table = pa.Table.from_batches([table]).add_column(0, "model_id", ids)
             spark.createDataFrame(table, MODEL_SCHEMA).write.mode("append").parquet(path)
-    return spark.read.schema(MODEL_SCHEMA).parquet(path)
 
 
-def _descend(
-    blocks: DataFrame, runs: list[tuple[Row, float, float]], size: int, grid: Grid,
-    tolerance: float, partials_bytes: int,
+def _passes(
+    blocks: DataFrame, runs: list, size: int, grid: Grid, tolerance: float, partials_bytes: int
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Yield (iteration limit, weights, iterations run) for every limit of the grid."""
+    kernels = _kernels()
     context = blocks.sparkSession.sparkContext
-    tasks = [task for task, _, _ in runs]
-    steps = np.array([step for _, step, _ in runs])
-    regs = np.array([reg for _, _, reg in runs])
-    n_train = np.array([task["n_train"] for task in tasks], dtype=float)
-    weights = np.zeros((len(runs), size))
-    live = np.ones(len(runs), dtype=bool)
-    iterations_run = np.zeros(len(runs), dtype="i4")
-    membership = context.broadcast(label_membership(tasks))
-    limits = sorted(set(grid.iterations))
-    by_shuffle = blocks.rdd.getNumPartitions() * weights.nbytes > partials_bytes
-    for iteration in range(1, limits[-1] + 1):
-        if live.any():
-            shared = context.broadcast((weights, live))
-            partials = blocks.mapInArrow(_partial_sums(membership, shared), "run int, sums binary")
-            if by_shuffle:
-                partials = partials.repartition("run").mapInArrow(_sum_adder(), "run int, sums binary")
-            total = np.zeros_like(weights)
-            for batch in partials.toArrow().to_batches():
-                for run, sums in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    total[run] += np.frombuffer(sums.as_buffer())
-            shared.unpersist()
-            eta = steps / np.sqrt(iteration)
-            moved = weights * (1 - eta * regs)[:, None] + (eta / n_train)[:, None] * total
-            moved = np.where(live[:, None], moved, weights)
-            iterations_run[live] = iteration
-            if iteration > 1:
-                change = np.linalg.norm(moved - weights, axis=1)
-                live &= ~(change < tolerance * np.maximum(np.linalg.norm(moved, axis=1), 1.0))
-            weights = moved
-        if iteration in limits:
-            yield iteration, weights, iterations_run.copy()
+    membership = context.broadcast(label_membership([task for task, _, _ in runs]))
+    by_shuffle = blocks.rdd.getNumPartitions() * len(runs) * size * 8 > partials_bytes
+
+    def sums_of(weights, live):
+        shared = context.broadcast((weights, live))
+        partials = blocks.mapInArrow(_partial_sums(membership, shared), "run int, sums binary")
+        if by_shuffle:
+            partials = partials.repartition("run").mapInArrow(_sum_adder(), "run int, sums binary")
+        total = np.zeros_like(weights)
+        for batch in partials.toArrow().to_batches():
+            for run, sums in zip(batch.column(0).to_pylist(), batch.column(1)):
+                total[run] += np.frombuffer(sums.as_buffer())
+        shared.unpersist()
+        return total
+
+    yield from kernels.descend(runs, size, list(grid.iterations), tolerance, sums_of)
     membership.unpersist()
 
 
+def _kernels():
+    """The small numeric functions of the training.
+
+    Made here so that they travel with the functions that run in the tasks.
+    """
+
+    def descend(runs, size, limits, tolerance, sums_of):
+        """The iterations; ``sums_of(weights, live)`` makes the sums over active rows."""
+        import numpy as np
+
+        steps = np.array([step for _, step, _ in runs])
+        regs = np.array([reg for _, _, reg in runs])
+        n_train = np.array([task["n_train"] for task, _, _ in runs], dtype=float)
+        weights = np.zeros((len(runs), size))
+        live = np.ones(len(runs), dtype=bool)
+        iterations_run = np.zeros(len(runs), dtype="i4")
+        for iteration in range(1, max(limits) + 1):
+            if live.any():
+                eta = steps / np.sqrt(iteration)
+                moved = weights * (1 - eta * regs)[:, None] + (eta / n_train)[:, None] * sums_of(weights, live)
+                moved = np.where(live[:, None], moved, weights)
+                iterations_run[live] = iteration
+                if iteration > 1:
+                    change = np.linalg.norm(moved - weights, axis=1)
+                    live = live & ~(change < tolerance * np.maximum(np.linalg.norm(moved, axis=1), 1.0))
+                weights = moved
+            if iteration in limits:
+                yield iteration, weights, iterations_run.copy()
+
+    def add_block(sums, buckets, vectors, members, weights):
+        """Add the active ``s * x`` of one block to the sums of the tasks of its label."""
+        import numpy as np
+
+        for cut, numbers, signs in members:
+            in_train = np.searchsorted(buckets, cut)
+            if not in_train or not len(numbers):
+                continue
+            # A slice of rows at a time keeps the margins within 32 MB.
+            width = max(1, 4_000_000 // len(numbers))
+            for start in range(0, in_train, width):
+                rows = vectors[start:min(start + width, in_train)]
+                active = (rows @ weights[numbers].T) * signs < 1
+                sums[numbers] += signs[:, None] * (active.T.astype(float) @ rows)
+
+    def live_members(members, live):
+        """Members as (cut, numbers of the runs still live, signs +1/-1)."""
+        return [(cut, n[live[n]], 2.0 * i[live[n]] - 1) for cut, n, i in members]
+
+    def model_table(runs, model_numbers, limit, weights, iterations_run):
+        """Models of one iteration limit as an Arrow batch."""
+        import numpy as np
+        import pyarrow as pa
+
+        count, size = weights.shape
+        tasks = [task for task, _, _ in runs]
+        offsets = pa.array(np.arange(0, (count + 1) * size, size), pa.int32())
+        return pa.RecordBatch.from_pydict({
+            **{name: [task[name] for task in tasks] for name in ("kind", "class1", "class2", "train_fraction")},
+            "cut": pa.array([task["cut"] for task in tasks], pa.int32()),
+            "class1_index": pa.array([task["class1_index"] for task in tasks], pa.int32()),
+            "model_number": pa.array([model_numbers[limit, step, reg] for _, step, reg in runs], pa.int32()),
+            "numIter": pa.array([limit] * count, pa.int32()),
+            "stepSize": pa.array([float(step) for _, step, _ in runs]),
+            "regParam": pa.array([float(reg) for _, _, reg in runs]),
+            "iterations_run": pa.array(iterations_run, pa.int32()),
+            "weights": pa.ListArray.from_arrays(offsets, pa.array(weights.ravel())),
+        })
+
+    return SimpleNamespace(descend=descend, add_block=add_block, live_members=live_members, model_table=model_table)
+
+
 def label_membership(tasks: list) -> dict:
-    """Which tasks the rows of a label belong to, and with which label index.
+    """Which tasks the rows of a label belong to, and with which label index."""
+    return membership_function()(tasks)
+
+
+def membership_function():
+    """The function tasks -> membership:
 
     ``own``: label -> cut -> (task numbers, indices), for the classes a task names.
     ``rest``: cut -> (task numbers, index of the rest, class1), for the rest tasks,
     whose rest side holds every label but ``class1``.
     """
-    own: dict = {}
-    rest: dict = {}
-    for number, task in enumerate(tasks):
-        sides = [(task["class1"], task["class1_index"])]
-        if task["kind"] == "1vs1":
-            sides.append((task["class2"], 1 - task["class1_index"]))
-        else:
-            rest.setdefault(task["cut"], []).append((number, 1 - task["class1_index"], task["class1"]))
-        for label, index in sides:
-            own.setdefault(label, {}).setdefault(task["cut"], []).append((number, index))
-    columns = lambda rows: tuple(np.array(column) for column in zip(*rows))
-    return {
-        "own": {label: {cut: columns(rows) for cut, rows in cuts.items()} for label, cuts in own.items()},
-        "rest": {cut: columns(rows) for cut, rows in rest.items()},
-    }
+
+    def membership(tasks):
+        import numpy as np
+
+        own: dict = {}
+        rest: dict = {}
+        for number, task in enumerate(tasks):
+            sides = [(task["class1"], task["class1_index"])]
+            if task["kind"] == "1vs1":
+                sides.append((task["class2"], 1 - task["class1_index"]))
+            else:
+                rest.setdefault(task["cut"], []).append((number, 1 - task["class1_index"], task["class1"]))
+            for label, index in sides:
+                own.setdefault(label, {}).setdefault(task["cut"], []).append((number, index))
+        columns = lambda rows: tuple(np.array(column) for column in zip(*rows))
+        return {
+            "own": {label: {cut: columns(rows) for cut, rows in cuts.items()} for label, cuts in own.items()},
+            "rest": {cut: columns(rows) for cut, rows in rest.items()},
+        }
+
+    return membership
 
 
 def members_of_label():
@@ -154,9 +251,42 @@ def members_of_label():
     return members
 
 
+def _trainer(rows, size, grid, tolerance):
+    """Trains the tasks of a partition on the broadcast rows."""
+    members, membership, kernels = members_of_label(), membership_function(), _kernels()
+    parameters, limits, numbers = grid.parameters(), list(grid.iterations), grid.numbers()
+    in_group = max(1, 256 // len(parameters))
+
+    def train_tasks(batches):
+        import numpy as np
+
+        blocks = [
+            (label, np.frombuffer(buckets, dtype="u1"), np.frombuffer(vectors).reshape(-1, size))
+            for label, buckets, vectors in rows.value
+        ]
+        for batch in batches:
+            tasks = batch.to_pylist()
+            for start in range(0, len(tasks), in_group):
+                runs = [(task, step, reg) for task in tasks[start:start + in_group] for step, reg in parameters]
+                found = membership([task for task, _, _ in runs])
+                of_label = {label: members(found, label) for label, _, _ in blocks}
+
+                def sums_of(weights, live):
+                    sums = np.zeros_like(weights)
+                    alive = {label: kernels.live_members(known, live) for label, known in of_label.items()}
+                    for label, buckets, vectors in blocks:
+                        kernels.add_block(sums, buckets, vectors, alive[label], weights)
+                    return sums
+
+                for limit, weights, iterations_run in kernels.descend(runs, size, limits, tolerance, sums_of):
+                    yield kernels.model_table(runs, numbers, limit, weights, iterations_run)
+
+    return train_tasks
+
+
 def _partial_sums(membership, shared):
     """The sums of active ``s * x`` over the blocks of one partition, per run."""
-    members = members_of_label()
+    members, kernels = members_of_label(), _kernels()
 
     def partial_sums(batches):
         import numpy as np
@@ -164,31 +294,16 @@ def _partial_sums(membership, shared):
 
         weights, live = shared.value
         sums = np.zeros_like(weights)
-        touched = np.zeros(len(weights), dtype=bool)
-        size = weights.shape[1]
         known = {}
         for batch in batches:
             for label, raw_buckets, raw_vectors in zip(*batch.columns):
                 name = label.as_py()
                 if name not in known:
-                    known[name] = [
-                        (cut, numbers[live[numbers]], 2 * indices[live[numbers]] - 1)
-                        for cut, numbers, indices in members(membership.value, name)
-                    ]
+                    known[name] = kernels.live_members(members(membership.value, name), live)
                 buckets = np.frombuffer(raw_buckets.as_buffer(), dtype="u1")
-                vectors = np.frombuffer(raw_vectors.as_buffer()).reshape(-1, size)
-                for cut, numbers, signs in known[name]:
-                    in_train = np.searchsorted(buckets, cut)
-                    if not in_train or not len(numbers):
-                        continue
-                    touched[numbers] = True
-                    # A slice of rows at a time keeps the margins within 32 MB.
-                    width = max(1, 4_000_000 // len(numbers))
-                    for start in range(0, in_train, width):
-                        rows = vectors[start:min(start + width, in_train)]
-                        active = (rows @ weights[numbers].T) * signs < 1
-                        sums[numbers] += signs[:, None] * (active.T.astype(float) @ rows)
-        runs = np.flatnonzero(touched)
+                vectors = np.frombuffer(raw_vectors.as_buffer()).reshape(len(buckets), -1)
+                kernels.add_block(sums, buckets, vectors, known[name], weights)
+        runs = np.flatnonzero(sums.any(axis=1))
         for start in range(0, len(runs), 1024):
             part = runs[start:start + 1024]
             yield pa.RecordBatch.from_pydict({
@@ -219,26 +334,6 @@ def _sum_adder():
     return add_sums
 
 
-def _model_table(runs, models, grid: Grid, first_id: int) -> pa.Table:
-    limit, weights, iterations_run = models
-    columns = {name: [task[name] for task, _, _ in runs] for name in (*TASK, "cut", "class1_index")}
-    count, size = weights.shape
-    return pa.table({
-        "model_id": pa.array(range(first_id, first_id + count), pa.int64()),
-        **{name: columns[name] for name in TASK},
-        "cut": pa.array(columns["cut"], pa.int32()),
-        "class1_index": pa.array(columns["class1_index"], pa.int32()),
-        "model_number": pa.array([grid.model_number(limit, step, reg) for _, step, reg in runs], pa.int32()),
-        "numIter": pa.array([limit] * count, pa.int32()),
-        "stepSize": pa.array([float(step) for _, step, _ in runs], pa.float64()),
-        "regParam": pa.array([float(reg) for _, _, reg in runs], pa.float64()),
-        "iterations_run": pa.array(iterations_run, pa.int32()),
-        "weights": pa.ListArray.from_arrays(
-            pa.array(np.arange(0, (count + 1) * size, size), pa.int32()), pa.array(weights.ravel())
-        ),
-    })
-
-
 def model_weights(models: DataFrame) -> DataFrame:
     """One row per model and vector position ``k`` (from 1)."""
     return models.select(

@@ -275,3 +275,4 @@ SELECT run::bigint AS run, event_type AS word, sum(user_id)::bigint AS total,
 FROM runs GROUP BY run, event_type""",
 }
 ORACLE["word_totals_stream"] = ORACLE["word_totals"]
+ORACLE["svm_weights_by_passes"] = ORACLE["svm_weights"]

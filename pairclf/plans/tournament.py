@@ -24,7 +24,7 @@ from ..operators.splits import (
     untrainable_tasks,
     with_bucket,
 )
-from ..operators.svm import train
+from ..operators.svm import BROADCAST_BYTES, train
 from ..session import write_table
 
 
@@ -48,6 +48,7 @@ def run_tournament(
     rest_percents: Sequence[int] = (REST_TRAIN_PERCENT,),
     second_percent: int | None = SECOND_SOURCE_TRAIN_PERCENT,
     grid: Grid = Grid(),
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> Tournament:
     """Train and score all tasks at all shares.
 
@@ -62,7 +63,7 @@ def run_tournament(
     rows = counts.groupBy().sum("n").first()[0] or 0
     size = vector_size(features)
     blocks = pack_blocks(features, size, rows)
-    models = train(blocks, trainable_tasks(label_index(label_counts)), size, grid)
+    models = train(blocks, trainable_tasks(label_index(label_counts)), size, rows, grid, broadcast_bytes=broadcast_bytes)
     metrics = evaluate(blocks, models)
     second_blocks = None
     if second is not None:

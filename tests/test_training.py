@@ -13,6 +13,8 @@ from pairclf.sources.feature_files import feature_rows
 from brute import bucket, descend, label_order, side_of
 
 GRID = Grid([1, 10, 60])
+# Bounds on the broadcast rows that choose one way of training or the other.
+WAYS = [0, 1_000_000]
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +29,7 @@ def trained(points, cache):
         indexed = label_index(task_label_counts(bucket_counts(with_bucket(points)), tasks))
         blocks = pack_blocks(points, 5, 240)
         runnable = trainable_tasks(indexed).cache()
-        cache.update(points=points, tasks=runnable, blocks=blocks, models=train(blocks, runnable, 5, GRID).cache())
+        cache.update(points=points, tasks=runnable, blocks=blocks, models=train(blocks, runnable, 5, 240, GRID).cache())
     return cache
 
 
@@ -45,19 +47,25 @@ def test_weights_equal_plain_descent(trained):
         assert model["class1_index"] == label_order(rows, model, model["cut"]).index(model["class1"])
 
 
-def test_early_stop_equals_plain_descent(trained):
+@pytest.mark.parametrize("way", WAYS)
+def test_early_stop_equals_plain_descent(trained, way):
     rows = [tuple(r) for r in trained["points"].collect()]
-    models = train(trained["blocks"], trained["tasks"], 5, Grid([60]), tolerance=0.05).collect()
+    models = train(
+        trained["blocks"], trained["tasks"], 5, 240, Grid([60]), tolerance=0.05, broadcast_bytes=way
+    ).collect()
     assert min(m["iterations_run"] for m in models) < max(m["iterations_run"] for m in models)
     for model in models:
         w, run = descend(rows, model, model["cut"], 60, tolerance=0.05)
         assert np.allclose(model["weights"], w, atol=1e-10) and model["iterations_run"] == run
 
 
-def test_chunks_and_shuffled_sums_change_nothing(trained):
+@pytest.mark.parametrize("partials_bytes", [0, 1_000_000])
+def test_passes_in_chunks_give_the_same_models(trained, partials_bytes):
     whole = weights_of(trained["models"])
     many = pack_blocks(trained["points"], 5, 240).repartition(6).sortWithinPartitions("label").cache()
-    small = train(many, trained["tasks"], 5, GRID, chunk_bytes=1000, partials_bytes=0)
+    small = train(
+        many, trained["tasks"], 5, 240, GRID, broadcast_bytes=0, chunk_bytes=1000, partials_bytes=partials_bytes
+    )
     assert small.select("model_id").distinct().count() == len(whole)
     for key, w in weights_of(small).items():
         assert np.allclose(w, whole[key], atol=1e-10)
@@ -80,16 +88,17 @@ def test_weights_equal_the_library_trainer(spark, trained):
             assert [int(np.dot(v, ours) > 0) for v in vectors] == [library.predict(v) for v in vectors]
 
 
-def test_grid_of_steps_and_regularisation(trained):
+@pytest.mark.parametrize("way", WAYS)
+def test_grid_of_steps_and_regularisation(trained, way):
     rows = [tuple(r) for r in trained["points"].collect()]
     grid = Grid([5, 20], [0.5, 1.0], [0.01, 0.1])
     pairs = trained["tasks"].filter("kind = '1vs1'")
-    models = train(trained["blocks"], pairs, 5, grid).collect()
+    models = train(trained["blocks"], pairs, 5, 240, grid, broadcast_bytes=way).collect()
     assert len(models) == 6 * 8
     for model in models:
         w, _ = descend(rows, model, 50, model["numIter"], model["stepSize"], model["regParam"])
         assert np.allclose(model["weights"], w, atol=1e-10)
-        expected = grid.model_number(model["numIter"], model["stepSize"], model["regParam"])
+        expected = grid.numbers()[model["numIter"], model["stepSize"], model["regParam"]]
         assert model["model_number"] == expected
 
 
@@ -139,10 +148,11 @@ def test_no_test_rows_means_null_accuracy(spark):
     assert (metric["total"], metric["accuracy"], metric["error_rate"]) == (0, None, None)
 
 
-def test_one_hot_class_and_uneven_vectors(spark):
+@pytest.mark.parametrize("way", WAYS)
+def test_one_hot_class_and_uneven_vectors(spark, way):
     names = [("a", i) for i in range(400)] + [("b", i) for i in range(5)] + [("c", i) for i in range(5)]
     frame = feature_rows(spark, [(c, [float(ord(c) - 98), 1.0], f"{c}_{i}.jpg.json") for c, i in names])
-    run = run_tournament(frame, grid=Grid([5]))
+    run = run_tournament(frame, grid=Grid([5]), broadcast_bytes=way)
     rows = [tuple(r) for r in frame.collect()]
     for model in run.models.collect():
         assert np.allclose(model["weights"], descend(rows, model, model["cut"], 5)[0], atol=1e-10)
