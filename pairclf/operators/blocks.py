@@ -28,7 +28,9 @@ def pack_blocks(features: DataFrame, size: int, rows: int) -> DataFrame:
     Every pass of the training reads all blocks, so rows are packed once: a
     block is one binary matrix that passes to numpy without a copy. Packing
     needs no shuffle; ``coalesce`` bounds the number of partitions, as each
-    partition returns one partial sum per task in every pass. ``rows`` sets it.
+    partition returns one partial sum per task in every pass. The bound grows with
+    ``rows`` up to the width of the cluster, or of its shuffles where executors are
+    still to be added.
     """
     spark = features.sparkSession
     row_limit = max(1, BLOCK_BYTES // (8 * size))
@@ -62,7 +64,8 @@ def pack_blocks(features: DataFrame, size: int, rows: int) -> DataFrame:
                     })
 
     wanted = math.ceil(rows * size * 8 / PARTITION_BYTES)
-    partitions = max(1, min(wanted, 2 * spark.sparkContext.defaultParallelism))
+    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions = max(1, min(wanted, width))
     source = with_bucket(features.select("label", "images", "features")).select("label", "bucket", "features")
     if source.rdd.getNumPartitions() < partitions:
         source = source.repartition(partitions)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.fixed_values import LISTED_COLUMN, LISTED_IMAGES
+from ..session import write_table
 from .scoring import MODEL, predict
 from .splits import with_bucket
 
@@ -27,7 +30,27 @@ def first_images(errors: DataFrame, extra: tuple[str, ...] = (), rows: int = LIS
     )
 
 
-def misclassified_by_vector(features: DataFrame, models: DataFrame) -> DataFrame:
+def with_vector_key(features: DataFrame, hash_of: Callable[[str], Column] = F.xxhash64) -> DataFrame:
+    """Add ``_hash`` and ``_other``, which together are equal for equal vectors only.
+
+    Only hashes are grouped. Vectors themselves meet just where a hash repeats, to
+    number those that differ all the same, so distinct vectors are never shuffled.
+    Both small tables are written first: their size then decides how they join.
+    """
+    hashed = features.withColumn("_hash", hash_of("features").cast("bigint"))
+    counts = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = write_table(counts.filter(F.col("_n") > 1).select("_hash"), "repeated-hashes")
+    different = hashed.join(repeated, "_hash", "left_semi").select("_hash", "features").distinct()
+    # A window holds the different vectors of one hash, one as a rule.
+    of_hash = Window.partitionBy("_hash").orderBy("features")
+    numbered = different.withColumn("_other", F.row_number().over(of_hash) - 1).filter(F.col("_other") > 0)
+    others = write_table(numbered, "other-vectors")
+    return hashed.join(others, ["_hash", "features"], "left").fillna(0, ["_other"])
+
+
+def misclassified_by_vector(
+    features: DataFrame, models: DataFrame, hash_of: Callable[[str], Column] = F.xxhash64
+) -> DataFrame:
     """Test images whose vector equals that of a misclassified row of the model.
 
     ``times_listed`` says how often the plain chain of joins (errors to test rows
@@ -35,21 +58,19 @@ def misclassified_by_vector(features: DataFrame, models: DataFrame) -> DataFrame
     the image, times its rows with the vector, times misclassified rows with the
     vector. It comes from counts, so copies of a vector are never paired.
     """
-    # Vectors meet in one grouping; from there on a vector is the least image
-    # name among its copies.
-    numbered = features.groupBy("features").agg(F.min("images").alias("vector"))
-    rows = features.join(numbered, "features")
+    vector = ["_hash", "_other"]
+    rows = with_vector_key(features, hash_of)
     wrong = (
-        predict(rows, models, carry=("vector",), errors_only=True)
-        .groupBy(*MODEL, "vector")
+        predict(rows, models, carry=vector, errors_only=True)
+        .groupBy(*MODEL, *vector)
         .agg(F.count(F.lit(1)).alias("_wrong"))
     )
-    copies = with_bucket(rows.select("label", "images", "vector")).groupBy("label", "bucket", "images", "vector").agg(
+    copies = with_bucket(rows.select("label", "images", *vector)).groupBy("label", "bucket", "images", *vector).agg(
         F.count(F.lit(1)).alias("_copies")
     )
     in_task = (F.col("kind") == "1vsAll") | F.col("label").isin(F.col("class1"), F.col("class2"))
     in_test = F.col("bucket") >= F.round(F.col("train_fraction") * 100).cast("int")
-    touched = wrong.join(copies, "vector").filter(in_task & in_test)
+    touched = wrong.join(copies, vector).filter(in_task & in_test)
     # Rows of the image on the test side of the task, over all of its vectors. The
     # label filter matters only for a name that carries several labels.
     of_image = copies.groupBy("images", "label").agg(F.sum("_copies").alias("_rows"))

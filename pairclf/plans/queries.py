@@ -35,7 +35,7 @@ from ..operators.selection import (
 from ..operators.splits import bucket_counts, label_index, split_counts, task_label_counts, with_bucket
 from ..operators.svm import model_weights
 from ..operators.words import word_run_totals, word_totals
-from ..session import new_table_path
+from ..session import new_table_path, write_table
 from ..sources.count_lines import parse_count_lines
 from ..sources.feature_files import (
     parse_feature_records,
@@ -185,17 +185,18 @@ def pair_filter(spark, sf_dir):
 
 def ova_relabel(spark, sf_dir):
     # Share 0 trains on nothing, so every row counts on the test side.
-    features = main_source(spark, sf_dir)
-    counts = task_label_counts(bucket_counts(with_bucket(features)), task_table(features, rest_percents=[0]))
-    return counts.select("class1", F.col("task_label").alias("label"), F.col("n_test").alias("n"))
+    counts = write_table(bucket_counts(with_bucket(main_source(spark, sf_dir))), "bucket-counts")
+    sides = task_label_counts(counts, task_table(counts, rest_percents=[0]))
+    return sides.select("class1", F.col("task_label").alias("label"), F.col("n_test").alias("n"))
 
 
 # ---------------------------------------------------------------- splits and indices
 
 
 def _label_counts(spark, sf_dir):
-    features = main_source(spark, sf_dir)
-    return task_label_counts(bucket_counts(with_bucket(features)), _all_tasks(features))
+    # The rows are read once; tasks and sizes come from the small count table.
+    counts = write_table(bucket_counts(with_bucket(main_source(spark, sf_dir))), "bucket-counts")
+    return task_label_counts(counts, write_table(_all_tasks(counts), "tasks"))
 
 
 def split_counts_query(spark, sf_dir):

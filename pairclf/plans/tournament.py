@@ -58,7 +58,7 @@ def run_tournament(
     # Classes, split sizes and label frequencies all come from this small table, so
     # the rows are read once for counting and once for packing.
     counts = write_table(bucket_counts(with_bucket(features)), "bucket-counts")
-    tasks = task_table(counts, pair_percents, rest_percents)
+    tasks = write_table(task_table(counts, pair_percents, rest_percents), "tasks")
     label_counts = write_table(task_label_counts(counts, tasks), "label-counts")
     rows = counts.groupBy().sum("n").first()[0] or 0
     size = vector_size(features)

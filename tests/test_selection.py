@@ -1,3 +1,5 @@
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from pairclf.operators.misclassified import first_images, misclassified, misclassified_by_vector
@@ -13,7 +15,7 @@ from pairclf.operators.classes import Grid
 from pairclf.plans.tournament import run_tournament
 from pairclf.sources.feature_files import feature_rows
 
-from brute import bucket
+from brute import bucket, label_order
 from test_sources import METRIC, metric
 
 LIMITS = (10, 50, 100, 300)
@@ -73,10 +75,15 @@ def plain_chain(rows, errors):
     return times
 
 
-def test_copies_of_an_image_are_listed_once(spark):
+def weak_hash(column):
+    return F.size(column) % 2
+
+
+@pytest.mark.parametrize("hash_of", [F.xxhash64, weak_hash])
+def test_copies_of_an_image_are_listed_once(spark, hash_of):
     # Vectors that no model without intercept can tell apart, with copies of rows
-    # and of vectors.
-    rows = []
+    # and of vectors, and one name with two vectors.
+    rows = [("a", [9.0, 1.0], "a_1.jpg.json"), ("a", [-9.0, 1.0], "a_3.jpg.json")]
     for c in "ab":
         for i in range(40):
             vector = [float(i % 4) - 1.5, 1.0]
@@ -85,10 +92,16 @@ def test_copies_of_an_image_are_listed_once(spark):
     run = run_tournament(features, rest_percents=[], grid=Grid([7]))
     errors = [(r["images"],) for r in misclassified(features, run.models).collect()]
     assert errors
-    vectors = {image: vector for _, vector, image in rows}
     test_rows = [row for row in rows if bucket(row[2]) >= 50]
-    expected = plain_chain(test_rows, [(image, vectors[image]) for (image,) in errors])
-    listed = misclassified_by_vector(features, run.models).collect()
+    order = label_order(rows, {"kind": "1vs1", "class1": "a", "class2": "b"}, 50)
+    weights = run.models.first()["weights"]
+    wrong_rows = [
+        (image, vector) for label, vector, image in test_rows
+        if int(np.dot(vector, weights) > 0) != order.index(label)
+    ]
+    assert sorted(image for image, _ in wrong_rows) == sorted(image for (image,) in errors)
+    expected = plain_chain(test_rows, wrong_rows)
+    listed = misclassified_by_vector(features, run.models, hash_of).collect()
     assert len({r["images"] for r in listed}) == len(listed)
     assert {r["images"]: r["times_listed"] for r in listed} == expected
     assert {image for (image,) in errors} <= set(expected)

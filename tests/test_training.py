@@ -12,7 +12,7 @@ from pairclf.sources.feature_files import feature_rows
 
 from brute import bucket, descend, label_order, side_of
 
-GRID = Grid([1, 10, 60])
+GRID = Grid([1, 10, 30])
 # Bounds on the broadcast rows that choose one way of training or the other.
 WAYS = [0, 1_000_000]
 
@@ -64,7 +64,7 @@ def test_passes_in_chunks_give_the_same_models(trained, partials_bytes):
     whole = weights_of(trained["models"])
     many = pack_blocks(trained["points"], 5, 240).repartition(6).sortWithinPartitions("label").cache()
     small = train(
-        many, trained["tasks"], 5, 240, GRID, broadcast_bytes=0, chunk_bytes=1000, partials_bytes=partials_bytes
+        many, trained["tasks"], 5, 240, GRID, broadcast_bytes=0, chunk_bytes=2000, partials_bytes=partials_bytes
     )
     assert small.select("model_id").distinct().count() == len(whole)
     for key, w in weights_of(small).items():
@@ -80,7 +80,7 @@ def test_weights_equal_the_library_trainer(spark, trained):
         task = {"kind": kind, "class1": class1, "class2": class2}
         order = label_order([tuple(r) for r in trained["points"].collect()], task, cut)
         data = frame.rdd.map(lambda r: LabeledPoint(float(order.index(r["label"])), r["features"])).cache()
-        for limit in (10, 60):
+        for limit in (10, 30):
             library = SVMWithSGD.train(data, limit, 1.0, regParam=0.01)
             ours = weights_of(trained["models"])[kind, class1, class2, cut / 100, limit, 1.0, 0.01]
             assert np.allclose(ours, library.weights.toArray(), atol=1e-9)
