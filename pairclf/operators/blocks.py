@@ -26,11 +26,11 @@ def pack_blocks(features: DataFrame, size: int, rows: int) -> DataFrame:
     """Blocks of one label each, its rows in bucket order.
 
     Every pass of the training reads all blocks, so rows are packed once: a
-    block is one binary matrix that passes to numpy without a copy. Packing
-    needs no shuffle; ``coalesce`` bounds the number of partitions, as each
-    partition returns one partial sum per task in every pass. The bound grows with
-    ``rows`` up to the width of the cluster, or of its shuffles where executors are
-    still to be added.
+    block is one binary matrix that passes to numpy without a copy. Packing needs
+    no shuffle, and no sort beyond that of each Arrow batch. ``coalesce`` bounds
+    the number of partitions, as each one returns one partial sum per task in
+    every pass. The bound grows with ``rows`` up to the width of the cluster, or
+    of its shuffles where executors are still to be added.
     """
     spark = features.sparkSession
     row_limit = max(1, BLOCK_BYTES // (8 * size))
@@ -49,16 +49,17 @@ def pack_blocks(features: DataFrame, size: int, rows: int) -> DataFrame:
             values = vectors.flatten()
             if values.null_count:
                 raise ValueError("a vector holds a null")
-            matrix = values.to_numpy().reshape(-1, size)
-            buckets = batch.column("bucket").to_numpy().astype("u1")
-            runs = batch.column("label").dictionary_encode()
-            codes = runs.indices.to_numpy()
+            labels = batch.column("label").dictionary_encode()
+            codes, buckets = labels.indices.to_numpy(), batch.column("bucket").to_numpy().astype("u1")
+            order = np.lexsort((buckets, codes))
+            codes, buckets = codes[order], buckets[order]
+            matrix = values.to_numpy().reshape(-1, size)[order]
             borders = [0, *(np.flatnonzero(codes[1:] != codes[:-1]) + 1), len(codes)]
             for low, high in zip(borders, borders[1:]):
                 for start in range(low, high, row_limit):
                     stop = min(start + row_limit, high)
                     yield pa.RecordBatch.from_pydict({
-                        "label": [runs.dictionary[int(codes[start])].as_py()],
+                        "label": pa.array([labels.dictionary[int(codes[low])].as_py()], pa.string()),
                         "buckets": pa.array([buckets[start:stop].tobytes()], pa.binary()),
                         "vectors": pa.array([matrix[start:stop].tobytes()], pa.binary()),
                     })
@@ -71,5 +72,4 @@ def pack_blocks(features: DataFrame, size: int, rows: int) -> DataFrame:
         source = source.repartition(partitions)
     else:
         source = source.coalesce(partitions)
-    blocks = source.sortWithinPartitions("label", "bucket").mapInArrow(pack, BLOCK_SCHEMA)
-    return blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    return source.mapInArrow(pack, BLOCK_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)

@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from pairclf.operators.selection import best_models
 from pairclf.sources.count_lines import read_count_lines, write_total_lines
