@@ -1,4 +1,3 @@
-
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
