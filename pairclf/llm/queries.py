@@ -8,14 +8,43 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe import encode_digests
-from .common import table
+from .common import crc_bucket, table
+from .lattice_lm import score_texts
 from .mixing import mix
+from .near_duplicates import near_duplicate_classes
+from .preferences import conversations, format_preferences, with_foreign_replies
+from .prefix_hashes import edited_fingerprints
 from .secrets import KINDS, find_secrets
+from .top_k import top_k
+from .toxicity import fit, labelled_sample, score
 
 #: The vocabulary file of the encoding queries.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = conversations(table(spark, sf_dir, "conversations"))
+    # The neighbour by number: 2k and 2k + 1 are each other's partners.
+    pairs = with_foreign_replies(chats, F.col("id").bitwiseXOR(F.lit(1)))
+    formatted = format_preferences(pairs)
+
+    def joined(side: str):
+        return F.array_join(F.transform(side, lambda s: s["text"]), "")
+
+    def mask(side: str):
+        return F.array_join(F.transform(side, lambda s: F.when(s["train"], "1").otherwise("0")), "")
+
+    return formatted.select(
+        F.col("id").alias("conv_id"),
+        "prefix_turns",
+        "prompt",
+        joined("chosen").alias("chosen"),
+        mask("chosen").alias("chosen_mask"),
+        joined("rejected").alias("rejected"),
+        mask("rejected").alias("rejected_mask"),
+    )
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(
         table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"),
@@ -40,6 +69,37 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+def op5_prefix_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = fit(labelled_sample(documents, table(spark, sf_dir, "labels")))
+    return score(documents, model).select(
+        "doc_id",
+        (crc_bucket("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "abuse",
+        "quotation",
+    )
+
+
+def op8_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_bucket("doc_id", 7) == 2
+    scored = score_texts(table(spark, sf_dir, "documents"), ~held_out, VOCABULARY)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     mixed = mix(documents, F.array("source"), weights=(3, 1, 2), total_percent=150, most_times=2)
@@ -49,7 +109,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_preferences": op1_preferences,
     "op2_secrets": op2_secrets,
     "op3_bpe": op3_bpe,
+    "op4_near_duplicates": op4_near_duplicates,
+    "op5_prefix_hashes": op5_prefix_hashes,
+    "op6_top_k": op6_top_k,
+    "op7_toxicity": op7_toxicity,
+    "op8_lattice_lm": op8_lattice_lm,
     "op10_mixing": op10_mixing,
 }

@@ -56,6 +56,47 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN base USING (r) LEFT JOIN joined USING (r)
 """
 
+OP1_PREFERENCES = """
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), n AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS place FROM t
+), r AS (
+    SELECT conv_id, max(place) AS reply_at FROM n WHERE role = 'assistant' GROUP BY conv_id
+), reply AS (
+    SELECT n.conv_id, n.text FROM n JOIN r ON n.conv_id = r.conv_id AND n.place = r.reply_at
+), pairs AS (
+    SELECT r.conv_id, r.reply_at, own.text AS own, other.text AS other
+    FROM r JOIN reply own USING (conv_id) JOIN reply other ON other.conv_id = xor(r.conv_id, 1)
+), common AS (
+    SELECT *, CASE WHEN own = other THEN reply_at ELSE reply_at - 1 END AS prefix_turns FROM pairs
+), prompts AS (
+    SELECT c.conv_id, string_agg('<|' || n.role || '|>' || chr(10) || n.text || '<|end|>' || chr(10), '' ORDER BY n.place) AS prompt
+    FROM common c JOIN n ON n.conv_id = c.conv_id AND n.place <= c.prefix_turns GROUP BY c.conv_id
+)
+SELECT conv_id, prefix_turns::INTEGER AS prefix_turns, coalesce(prompt, '') AS prompt,
+    CASE WHEN own = other THEN '' ELSE '<|assistant|>' || chr(10) || own || '<|end|>' || chr(10) END AS chosen,
+    CASE WHEN own = other THEN '' ELSE '01' END AS chosen_mask,
+    CASE WHEN own = other THEN '' ELSE '<|assistant|>' || chr(10) || other || '<|end|>' || chr(10) END AS rejected,
+    CASE WHEN own = other THEN '' ELSE '01' END AS rejected_mask
+FROM common LEFT JOIN prompts USING (conv_id)
+"""
+
+OP6_TOP_K = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), c AS (SELECT vec_id, unnest(e) AS x, unnest(range(len(e))) AS i FROM v),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+    FROM c q JOIN c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY q.vec_id, c.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
+"""
+
 OP10_MIXING = f"""
 WITH d AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_quoted(WORD)})) AS size,
@@ -93,4 +134,9 @@ SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
 FROM placed
 """
 
-ORACLE: dict[str, str] = {"op2_secrets": OP2_SECRETS, "op10_mixing": OP10_MIXING}
+ORACLE: dict[str, str] = {
+    "op1_preferences": OP1_PREFERENCES,
+    "op2_secrets": OP2_SECRETS,
+    "op6_top_k": OP6_TOP_K,
+    "op10_mixing": OP10_MIXING,
+}
