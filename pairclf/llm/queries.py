@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .bpe import encode_digests
 from .common import crc_bucket, table
 from .lattice_lm import score_texts
+from .line_templates import drop_recurring_lines
 from .mixing import mix
 from .near_duplicates import near_duplicate_classes
 from .preferences import conversations, format_preferences, with_foreign_replies
@@ -100,6 +101,11 @@ def op8_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return drop_recurring_lines(documents, lines="n_lines", dropped="n_dropped")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     mixed = mix(documents, F.array("source"), weights=(3, 1, 2), total_percent=150, most_times=2)
@@ -117,5 +123,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_top_k": op6_top_k,
     "op7_toxicity": op7_toxicity,
     "op8_lattice_lm": op8_lattice_lm,
+    "op9_line_templates": op9_line_templates,
     "op10_mixing": op10_mixing,
 }

@@ -345,17 +345,20 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE
 
 def score(documents: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep``, score (0 to 1), abuse and quotation (numbers of hits)."""
-    rows = documents.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], whole_text(text).alias("text"))
+    columns = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
+    place = keep.index(text) if text in keep else len(keep)  # the text moves to Python once
+    rows = documents.select(*columns, *([whole_text(text).alias(f"k{place}")] if place == len(keep) else []))
     kept = ", ".join(f"k{i} {rows.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keep)))
     terms, weights = model.terms, np.array(model.weights)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(terms)
-        for batch in text_chunks(batches):
-            x = np.array([features(lexicon, t) for t in batch.column("text").to_pylist()])
+        for batch in text_chunks(batches, f"k{place}"):
+            x = np.array([features(lexicon, t or "") for t in batch.column(place).to_pylist()])
             scores = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-            columns = [*batch.columns[:-1], pa.array(scores), pa.array((x[:, 1] * 4).astype(int)), pa.array((x[:, 4] * 4).astype(int))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "score", "abuse", "quotation"])
+            added = [pa.array(scores), pa.array((x[:, 1] * 4).astype(int)), pa.array((x[:, 4] * 4).astype(int))]
+            own = batch.columns[: len(keep)]
+            yield pa.RecordBatch.from_arrays([*own, *added], names=[*batch.schema.names[: len(keep)], "score", "abuse", "quotation"])
 
     scored = map_batches(rows, work, f"{kept}, score double, abuse bigint, quotation bigint")
     return scored.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "score", "abuse", "quotation")
