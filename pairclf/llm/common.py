@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -29,8 +32,31 @@ def crc_bucket(column: str, buckets: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % buckets
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for an application, so that the work of
+    tasks can import it wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    # Only the driver reads this file; Spark serves its copy to the executors.
+    path = os.path.join(tempfile.mkdtemp(prefix="pairclf-code-"), "pairclf_code.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, files in os.walk(top):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    archive.write(file, os.path.relpath(file, os.path.dirname(top)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Run ``work`` over the Arrow batches of every partition, where they lie."""
+    ship_package(df.sparkSession)
     return df.mapInArrow(work, schema)
 
 
