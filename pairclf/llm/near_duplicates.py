@@ -9,9 +9,9 @@ similarity: sum over common shingles of 1 / sum over all of max(x_j / x_i, y_j /
 
 Signatures are cut into bands. Copies are one node; each band bucket is compared with
 its least node, and links are verified on the whole texts. Buckets that still hold
-several components are compared in blocks of pairs of signatures, which are split
-over the tasks, and what may be similar is verified as well. Classes are the
-components of verified links.
+several components are compared in pairs of blocks, which are split over the tasks: signatures
+first, most alike first, then the bags themselves, as long as two rows are not linked
+by then. Only links leave a task. Classes are the components of verified links.
 
 Null and empty texts, and rows without an id, link to nothing: their class is their
 own id. An id counts as one document, also if it is repeated. Empty tables give empty
@@ -39,8 +39,9 @@ REGISTERS = BANDS * ROWS
 #: Signatures agree in 0.8 of 120 registers with a deviation of 0.037; pairs that agree
 #: in fewer than 0.6 are below the similarity but for one pair in ten million.
 LEAST_AGREEMENT = 0.6
-#: Rows in a block of a bucket that is compared in pairs of blocks.
-BLOCK = 256
+#: Rows and distinct shingles in a block of a bucket that is compared in pairs of blocks.
+BLOCK_ROWS = 1_024
+BLOCK_SHINGLES = 1_000_000
 
 _CACHED_WORDS = 500_000
 
@@ -158,8 +159,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(keys, pa.binary()),
                 pa.ListArray.from_arrays(offsets, pa.array(bands.ravel())),
                 pa.array([row.tobytes() for row in short], pa.binary()),
+                pa.array(np.bincount(document, minlength=batch.num_rows).astype(np.int64)),
             ],
-            names=["node", "content", "bands", "signature"],
+            names=["node", "content", "bands", "signature", "shingles"],
         )
 
 
@@ -175,50 +177,92 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a cell in different components whose signatures agree often enough.
-    Rows come sorted by cell; a cell has two blocks of rows at most."""
-    names = ["band", "low", "high", "node", "label", "block", "signature"]
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, its sorted shingle hashes and their weights."""
+    for batch in text_chunks(batches):
+        document, shingle, weight, _ = shingle_bags(batch.column("text").to_pylist())
+        ends = np.cumsum(np.bincount(document, minlength=batch.num_rows))
+        parts = list(zip([0, *ends[:-1]], ends))
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("node"),
+                pa.array([shingle[low:high].tobytes() for low, high in parts], pa.binary()),
+                pa.array([weight[low:high].astype(np.float32).tobytes() for low, high in parts], pa.binary()),
+            ],
+            names=["node", "hashes", "weights"],
+        )
+
+
+def _link_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between rows of a cell that nothing has linked so far.
+
+    Rows come sorted by cell; a cell has two blocks of rows at most. A pair of rows is
+    looked at in the first band that it shares.
+    """
+    names = ["band", "low", "high", "node", "label", "block", "signature", "bands", "hashes", "weights"]
     cell, rows = None, []
 
-    def pairs() -> pa.RecordBatch:
+    def links() -> pa.RecordBatch:
         node, label, block = (np.array([r[i] for r in rows]) for i in (3, 4, 5))
         held = np.frombuffer(b"".join(r[6] for r in rows), dtype=np.uint16).reshape(len(rows), REGISTERS)
+        bands = np.array([r[7] for r in rows], dtype=np.int64)
+        bags: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def bag(i: int) -> tuple[np.ndarray, np.ndarray]:
+            if i not in bags:
+                bags[i] = np.frombuffer(rows[i][8], np.uint64), np.frombuffer(rows[i][9], np.float32).astype(np.float64)
+            return bags[i]
+
         found_a, found_b = [], []
         for i in range(len(rows)):
-            # Within the cell of one block all pairs; else pairs across the two blocks.
-            j = np.arange(i + 1, len(rows)) if cell[1] == cell[2] else np.flatnonzero((block != block[i]) & (block[i] == cell[1]))
-            j = j[label[j] != label[i]]
-            j = j[(held[j] == held[i]).mean(axis=1) >= LEAST_AGREEMENT] if len(j) else j
-            found_a.append(np.minimum(node[i], node[j]))
-            found_b.append(np.maximum(node[i], node[j]))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(x).astype(np.int64)) for x in (found_a, found_b)], names=["a", "b"]
-        )
+            # In a cell of one block all pairs; else the pairs across its two blocks.
+            if cell[1] == cell[2]:
+                j = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
+            elif block[i] == cell[1]:
+                j = np.flatnonzero((block == cell[2]) & (label != label[i]))
+            else:
+                continue
+            if not len(j):
+                continue
+            agreement = (held[j] == held[i]).mean(axis=1)
+            near = agreement >= LEAST_AGREEMENT
+            j, agreement = j[near], agreement[near]
+            shared = bands[j] == bands[i]
+            first = shared.argmax(axis=1) if len(j) else np.zeros(0, np.int64)
+            here = bands[j, first] == cell[0]
+            j, agreement = j[here], agreement[here]
+            for k in j[np.argsort(-agreement, kind="stable")]:
+                if label[k] != label[i] and probability_jaccard(bag(i), bag(int(k))) >= SIMILARITY - 1e-12:
+                    found_a.append(min(node[i], node[k]))
+                    found_b.append(max(node[i], node[k]))
+                    label[label == label[k]] = label[i]
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (found_a, found_b)], names=["a", "b"])
 
     for batch in batches:
         for row in zip(*(batch.column(n).to_pylist() for n in names)):
             if row[:3] != cell:
                 if len(rows) > 1:
-                    yield pairs()
+                    yield links()
                 cell, rows = row[:3], []
             rows.append(row)
     if len(rows) > 1:
-        yield pairs()
+        yield links()
 
 
 def near_duplicate_classes(documents: DataFrame, identity: str = "doc_id", text: str = "text") -> DataFrame:
     """identity and class_id (the least id of the class), for each row of ``documents``."""
     rows = documents.select(F.col(identity).cast("bigint").alias("node"), whole_text(text).alias("text"))
-    schema = "node bigint, content binary, bands array<bigint>, signature binary"
+    schema = "node bigint, content binary, bands array<bigint>, signature binary, shingles bigint"
     signed = write_table(map_batches(rows, _sign, schema), "near-signatures")
     known = signed.filter("node IS NOT NULL AND content IS NOT NULL")
     # Copies are one node. The minimum is taken in every task before the shuffle.
     copies = write_table(known.groupBy("content").agg(F.min("node").alias("first")), "near-copies")
     firsts = copies.join(known, (known["node"] == copies["first"]) & (known["content"] == copies["content"])).select(
-        "node", "bands", "signature"
+        "node", "bands", "signature", "shingles"
+    )
+    firsts = write_table(
+        firsts.groupBy("node").agg(*[F.first(c).alias(c) for c in ("bands", "signature", "shingles")]), "near-nodes"
     )
-    firsts = write_table(firsts.groupBy("node").agg(F.first("bands").alias("bands"), F.first("signature").alias("signature")), "near-nodes")
     banded = firsts.select("node", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     buckets = write_table(buckets, "near-buckets")
@@ -231,23 +275,31 @@ def near_duplicate_classes(documents: DataFrame, identity: str = "doc_id", text:
     labelled = (
         inside.filter("size > 2")
         .join(labels, "node", "left")
-        .select("band", "node", "size", F.coalesce("label", "node").alias("label"))
+        .select("band", "node", F.coalesce("label", "node").alias("label"))
     )
     labelled = write_table(labelled, "near-labelled")
-    several = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("band")
-    several = write_table(several, "near-several")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    split = labelled.join(several, "band").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    mixed_up = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    several = write_table(mixed_up.select("band"), "near-several")
+    nodes = firsts.join(map_batches(texts, _bags, "node bigint, hashes binary, weights binary"), "node")
+    rows_of = write_table(labelled.join(several, "band").join(firsts.select("node", "shingles"), "node"), "near-apart")
+    sizes = rows_of.groupBy("band").agg(F.count(F.lit(1)).alias("rows"), F.sum("shingles").alias("shingles"))
+    blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    sizes = write_table(sizes.select("band", blocks.alias("blocks")), "near-blocks")
     cells = (
-        split.join(firsts.select("node", "signature"), "node")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "label", "block", "signature")
+        rows_of.select("band", "node", "label")
+        .join(sizes, "band")
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .join(nodes, "node")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+            "node", "label", "block", "signature", "bands", "hashes", "weights",
+        )
     )
     order = ["band", "low", "high"]
-    apart = map_batches(cells.repartition(*order).sortWithinPartitions(*order), _agreeing, "a bigint, b bigint").distinct()
-    apart = write_table(apart.join(stars, ["a", "b"], "left_anti"), "near-apart")
-    more = _verified(apart, texts)
-    labels = components(links.union(more)) if not apart.isEmpty() else labels
+    more = map_batches(cells.repartition(*order).sortWithinPartitions(*order), _link_cells, "a bigint, b bigint").distinct()
+    more = write_table(more, "near-more-links")
+    labels = components(links.union(more)) if not more.isEmpty() else labels
     # Members of a copy take the label of its first.
     named = copies.join(labels, copies["first"] == labels["node"], "left").select("content", F.coalesce("label", "first").alias("class"))
     named = write_table(named, "near-classes")
