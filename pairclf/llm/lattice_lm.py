@@ -73,6 +73,23 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return write_table(counted.groupBy("word").agg(F.sum("count").alias("count")), "lm-words")
 
 
+def _heavy_words(learnt: DataFrame, divisor: int) -> dict[bytes, float]:
+    """The base scores of the most frequent words, HEAVY_WORDS at most: all words from
+    the least count on that lets no more through. Steps of counts are told by their
+    logarithms, of which there are some hundreds in any corpus."""
+    step = F.floor(F.log2("count") * 8).cast("int")
+    held, least = 0, None
+    for row in sorted(learnt.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
+        held += row["count"]
+        if held > HEAVY_WORDS:
+            break
+        least = row["step"]
+    if least is None:
+        return {}
+    top = learnt.filter(step >= least).select("word", "count").toArrow()
+    return {w: math.log10((c + 1) / divisor) for w, c in zip(top["word"].to_pylist(), top["count"].to_pylist())}
+
+
 def usable(raw: bytes) -> bool:
     """Whether a lowered word with the space before it can have this piece."""
     return raw == raw.lower() and not any(c in b" \t\n\x0b\x0c\r" for c in raw[1:]) and raw[:1] not in (b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
@@ -209,9 +226,7 @@ def score_texts(documents: DataFrame, training: Column, path: str, keep: tuple[s
     sizes = learnt.agg(F.sum("count"), F.count(F.lit(1))).first()
     tokens, distinct = sizes[0] or 0, sizes[1]
     divisor = tokens + distinct + 1
-    # HEAVY_WORDS rows at most.
-    top = learnt.orderBy(F.col("count").desc(), "word").limit(HEAVY_WORDS).collect()
-    heavy = {bytes(row["word"]): math.log10((row["count"] + 1) / divisor) for row in top}
+    heavy = _heavy_words(learnt, divisor)
     shared = context.broadcast((spec.value, piece_log_probabilities(learnt, spec), heavy))
     rows = documents.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], whole_text(text).alias("text"))
     kept = "".join(f"k{i} {rows.schema[f'k{i}'].dataType.simpleString()}, " for i in range(len(keep)))
