@@ -17,6 +17,7 @@ def main(arguments: list[str] | None = None) -> None:
         command.add_argument("features_dir_all")
         command.add_argument("--out", default="output")
         command.add_argument("--strict", action="store_true", help="raise on empty feature files")
+        command.add_argument("--seed", default="", help="another seed is another split")
     words = commands.add_parser("words", help="total 'word count' lines")
     words.add_argument("path")
     words.add_argument("--out", default="output/words")
@@ -27,7 +28,7 @@ def main(arguments: list[str] | None = None) -> None:
     else:
         classify(
             spark, options.features_dir, options.features_dir_all, options.out,
-            sweep=options.command == "sweep", strict=options.strict,
+            sweep=options.command == "sweep", strict=options.strict, seed=options.seed,
         )
 
 

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.fixed_values import BUCKETS
 from .splits import with_bucket
 
-BLOCK_SCHEMA = "label string, buckets binary, vectors binary"
+BLOCK_SCHEMA = "label string, min_bucket int, buckets binary, vectors binary"
 BLOCK_BYTES = 2 * 1024 * 1024
-PARTITION_BYTES = 16 * 1024 * 1024
+# Rows of labels whose blocks are not full yet, over all labels of a task.
+HELD_BYTES = 64 * 1024 * 1024
 
 
 def vector_size(features: DataFrame) -> int:
@@ -22,54 +22,78 @@ def vector_size(features: DataFrame) -> int:
     return first["size"]
 
 
-def pack_blocks(features: DataFrame, size: int, rows: int) -> DataFrame:
+def matrix_of_batch():
+    """The function (Arrow column of vectors, size) -> matrix; uneven vectors raise.
+
+    Made here so that it travels with the functions that run in the tasks.
+    """
+
+    def matrix(vectors, size):
+        lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
+        if vectors.null_count or (lengths != size).any():
+            raise ValueError(f"vectors of {size} numbers expected")
+        values = vectors.flatten()
+        if values.null_count:
+            raise ValueError("a vector holds a null")
+        return values.to_numpy().reshape(-1, size)
+
+    return matrix
+
+
+def pack_blocks(features: DataFrame, size: int, split_at: int = BUCKETS) -> DataFrame:
     """Blocks of one label each, its rows in bucket order.
 
-    Every pass of the training reads all blocks, so rows are packed once: a
-    block is one binary matrix that passes to numpy without a copy. Packing needs
-    no shuffle, and no sort beyond that of each Arrow batch. ``coalesce`` bounds
-    the number of partitions, as each one returns one partial sum per task in
-    every pass. The bound grows with ``rows`` up to the width of the cluster, or
-    of its shuffles where executors are still to be added.
+    Every pass of the training reads blocks, so rows are packed once: a block is one
+    binary matrix that passes to numpy without a copy. Packing follows the partitions
+    of the scan, without a shuffle. A task holds back the rows of each label until
+    they fill a block. No block has rows on both sides of ``split_at``, the largest
+    cut, so a filter on ``min_bucket`` keeps test rows out of the training.
     """
-    spark = features.sparkSession
+    matrix_of = matrix_of_batch()
     row_limit = max(1, BLOCK_BYTES // (8 * size))
+    held_limit = max(1, HELD_BYTES // (8 * size))
 
     def pack(batches):
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors = batch.column("features")
-            lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
-            if vectors.null_count or (lengths != size).any():
-                raise ValueError(f"vectors of {size} numbers expected")
-            values = vectors.flatten()
-            if values.null_count:
-                raise ValueError("a vector holds a null")
-            labels = batch.column("label").dictionary_encode()
-            codes, buckets = labels.indices.to_numpy(), batch.column("bucket").to_numpy().astype("u1")
-            order = np.lexsort((buckets, codes))
-            codes, buckets = codes[order], buckets[order]
-            matrix = values.to_numpy().reshape(-1, size)[order]
-            borders = [0, *(np.flatnonzero(codes[1:] != codes[:-1]) + 1), len(codes)]
-            for low, high in zip(borders, borders[1:]):
+        held = {}  # label -> pieces of (buckets, matrix)
+        sizes = {}
+
+        def blocks_of(label):
+            buckets, matrix = (np.concatenate(parts) for parts in zip(*held.pop(label)))
+            sizes.pop(label)
+            order = np.argsort(buckets, kind="stable")
+            buckets, matrix = buckets[order], matrix[order]
+            border = int(np.searchsorted(buckets, split_at))
+            for low, high in ((0, border), (border, len(buckets))):
                 for start in range(low, high, row_limit):
                     stop = min(start + row_limit, high)
                     yield pa.RecordBatch.from_pydict({
-                        "label": pa.array([labels.dictionary[int(codes[low])].as_py()], pa.string()),
+                        "label": pa.array([label], pa.string()),
+                        "min_bucket": pa.array([int(buckets[start])], pa.int32()),
                         "buckets": pa.array([buckets[start:stop].tobytes()], pa.binary()),
                         "vectors": pa.array([matrix[start:stop].tobytes()], pa.binary()),
                     })
 
-    wanted = math.ceil(rows * size * 8 / PARTITION_BYTES)
-    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    partitions = max(1, min(wanted, width))
-    source = with_bucket(features.select("label", "images", "features")).select("label", "bucket", "features")
-    if source.rdd.getNumPartitions() < partitions:
-        source = source.repartition(partitions)
-    else:
-        source = source.coalesce(partitions)
-    return source.mapInArrow(pack, BLOCK_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            matrix = matrix_of(batch.column("features"), size)
+            labels = batch.column("label").dictionary_encode()
+            codes, buckets = labels.indices.to_numpy(), batch.column("bucket").to_numpy().astype("u1")
+            for code, label in enumerate(labels.dictionary.to_pylist()):
+                rows = np.flatnonzero(codes == code)
+                held.setdefault(label, []).append((buckets[rows], matrix[rows]))
+                sizes[label] = sizes.get(label, 0) + len(rows)
+                if sizes[label] >= row_limit:
+                    yield from blocks_of(label)
+            while sum(sizes.values()) > held_limit:
+                yield from blocks_of(max(sizes, key=sizes.get))
+        for label in list(held):
+            yield from blocks_of(label)
+
+    if "bucket" not in features.columns:
+        features = with_bucket(features)
+    rows = features.select("label", "bucket", "features")
+    return rows.mapInArrow(pack, BLOCK_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)

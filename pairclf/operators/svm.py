@@ -12,6 +12,7 @@ on the iteration limit, so all limits of a grid are snapshots of one run.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import islice
 from types import SimpleNamespace
@@ -29,97 +30,94 @@ MODEL_SCHEMA = (
     "class1_index int, model_number int, numIter int, stepSize double, regParam double, "
     "iterations_run int, weights array<double>"
 )
-# Rows up to this size are broadcast and the tasks spread over the cluster; beyond
-# it the rows stay where they are and the weights are broadcast, pass by pass.
-BROADCAST_BYTES = 8 * 1024 * 1024
-# Bounds of what the driver holds in the passes: the weights of one chunk of runs,
-# and the partial sums of a pass. Beyond the first, runs are trained in further
-# chunks; beyond the second, the sums are made by a shuffle.
+# Bound of the weights that one chunk of runs may take; further runs are trained in
+# further chunks. Only a chunk's weights and sums are ever in the driver.
 CHUNK_BYTES = 64 * 1024 * 1024
-PARTIALS_BYTES = 64 * 1024 * 1024
+# Bound of the weights that a task holds ready by label.
+READY_BYTES = 128 * 1024 * 1024
 
 
 def train(
     blocks: DataFrame,
     tasks: DataFrame,
     size: int,
-    rows: int,
     grid: Grid = Grid(),
     tolerance: float = TOLERANCE,
-    broadcast_bytes: int = BROADCAST_BYTES,
     chunk_bytes: int = CHUNK_BYTES,
-    partials_bytes: int = PARTIALS_BYTES,
 ) -> DataFrame:
     """Train every task at every grid point; returns the written table of models.
 
     ``tasks`` is :func:`splits.trainable_tasks`; ``blocks`` is
-    :func:`blocks.pack_blocks` of ``rows`` rows. As with a join, the size decides
-    which side travels: few rows go to the tasks, few weights go to the rows.
-    Both ways give the same models, and rows are never copied per task.
+    :func:`blocks.pack_blocks`. Rows stay where they are: an iteration is one job, in
+    which the weights of a chunk of runs go to the rows, every partition makes one
+    partial sum for each run, and a shuffle on the run adds them in the order of the
+    partitions, so that reruns agree. Tasks are chunked in tiles of classes, and a
+    pass reads the blocks of the classes that its live runs name.
     """
-    path = new_table_path(blocks.sparkSession, "models")
-    if rows * size * 8 <= broadcast_bytes:
-        _train_beside_rows(blocks, tasks, size, grid, tolerance, path)
-    else:
-        _train_in_passes(blocks, tasks, size, grid, tolerance, chunk_bytes, partials_bytes, path)
-    return blocks.sparkSession.read.schema(MODEL_SCHEMA).parquet(path)
-
-
-def _train_beside_rows(blocks, tasks, size, grid, tolerance, path) -> None:
-    """Every Spark task trains some of the tasks on the broadcast rows."""
-    context = blocks.sparkSession.sparkContext
-    rows = context.broadcast([tuple(row) for row in blocks.collect()])
-    schema = MODEL_SCHEMA.removeprefix("model_id bigint, ")
-    spread = tasks.repartition(context.defaultParallelism)
-    models = spread.mapInArrow(_trainer(rows, size, grid, tolerance), schema)
-    columns = [name.split()[0] for name in MODEL_SCHEMA.split(", ")]
-    models.withColumn("model_id", F.monotonically_increasing_id()).select(columns).write.parquet(path)
-    rows.unpersist()
-
-
-def _train_in_passes(blocks, tasks, size, grid, tolerance, chunk_bytes, partials_bytes, path) -> None:
-    """One Spark job per iteration serves all runs of a chunk."""
     spark = blocks.sparkSession
+    path = new_table_path(spark, "models")
     model_table = _kernels().model_table
     spark.createDataFrame([], MODEL_SCHEMA).write.parquet(path)
     parameters = grid.parameters()
     per_run = 8 * size * (len(grid.iterations) + 3)
     in_chunk = max(1, chunk_bytes // (per_run * len(parameters)))
-    remaining = tasks.orderBy(*TASK).toLocalIterator()
+    remaining = _in_tiles(tasks, in_chunk).toLocalIterator()
     next_id = 0
     while chunk := list(islice(remaining, in_chunk)):
         runs = [(task.asDict(), step, reg) for task in chunk for step, reg in parameters]
-        for limit, weights, iterations_run in _passes(blocks, runs, size, grid, tolerance, partials_bytes):
+        for limit, weights, iterations_run in _passes(blocks, runs, size, grid, tolerance):
             table = model_table(runs, grid.numbers(), limit, weights, iterations_run)
             ids = pa.array(range(next_id, next_id + table.num_rows), pa.int64())
             next_id += table.num_rows
             table = pa.Table.from_batches([table]).add_column(0, "model_id", ids)
             spark.createDataFrame(table, MODEL_SCHEMA).write.mode("append").parquet(path)
+    return spark.read.schema(MODEL_SCHEMA).parquet(path)
+
+
+def _in_tiles(tasks: DataFrame, in_chunk: int) -> DataFrame:
+    """Tasks in tiles of classes, so that a chunk names few classes: with ``k`` parts
+    of the classes a tile has a k-th of them on either side."""
+    parts = max(1, math.isqrt(max(1, tasks.count() // in_chunk)))
+    tile = [F.pmod(F.xxhash64(c), F.lit(parts)) for c in ("class1", "class2")]
+    return tasks.orderBy("kind", *tile, *TASK)
 
 
-def _passes(
-    blocks: DataFrame, runs: list, size: int, grid: Grid, tolerance: float, partials_bytes: int
-) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def named_labels(tasks: list) -> list[str] | None:
+    """The labels whose rows the tasks need; None when they need all."""
+    if any(task["kind"] != "1vs1" for task in tasks):
+        return None
+    return sorted({task[side] for task in tasks for side in ("class1", "class2")})
+
+
+def _passes(blocks: DataFrame, runs: list, size: int, grid: Grid, tolerance: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Yield (iteration limit, weights, iterations run) for every limit of the grid."""
     kernels = _kernels()
     context = blocks.sparkSession.sparkContext
     membership = context.broadcast(label_membership([task for task, _, _ in runs]))
-    by_shuffle = blocks.rdd.getNumPartitions() * len(runs) * size * 8 > partials_bytes
 
     def sums_of(weights, live):
+        alive = [task for (task, _, _), on in zip(runs, live) if on]
+        rows = blocks.filter(F.col("min_bucket") < max(task["cut"] for task in alive))
+        labels = named_labels(alive)
+        if labels is not None:
+            rows = rows.filter(F.col("label").isin(labels))
         shared = context.broadcast((weights, live))
-        partials = blocks.mapInArrow(_partial_sums(membership, shared), "run int, sums binary")
-        if by_shuffle:
-            partials = partials.repartition("run").mapInArrow(_sum_adder(), "run int, sums binary")
+        try:
+            partials = rows.mapInArrow(_partial_sums(membership, shared), "run int, part int, sums binary")
+            in_order = partials.repartition("run").sortWithinPartitions("run", "part")
+            added = in_order.mapInArrow(_sum_adder(), "run int, sums binary").toArrow()
+        finally:
+            shared.destroy()
         total = np.zeros_like(weights)
-        for batch in partials.toArrow().to_batches():
+        for batch in added.to_batches():
             for run, sums in zip(batch.column(0).to_pylist(), batch.column(1)):
-                total[run] += np.frombuffer(sums.as_buffer())
-        shared.unpersist()
+                total[run] = np.frombuffer(sums.as_buffer())
         return total
 
-    yield from kernels.descend(runs, size, list(grid.iterations), tolerance, sums_of)
-    membership.unpersist()
+    try:
+        yield from kernels.descend(runs, size, list(grid.iterations), tolerance, sums_of)
+    finally:
+        membership.destroy()
 
 
 def _kernels():
@@ -151,11 +149,11 @@ def _kernels():
             if iteration in limits:
                 yield iteration, weights, iterations_run.copy()
 
-    def add_block(sums, buckets, vectors, members, weights):
+    def add_block(sums, buckets, vectors, members):
         """Add the active ``s * x`` of one block to the sums of the tasks of its label."""
         import numpy as np
 
-        for cut, numbers, signs in members:
+        for cut, numbers, signs, weights in members:
             in_train = np.searchsorted(buckets, cut)
             if not in_train or not len(numbers):
                 continue
@@ -163,12 +161,12 @@ def _kernels():
             width = max(1, 4_000_000 // len(numbers))
             for start in range(0, in_train, width):
                 rows = vectors[start:min(start + width, in_train)]
-                active = (rows @ weights[numbers].T) * signs < 1
+                active = (rows @ weights.T) * signs < 1
                 sums[numbers] += signs[:, None] * (active.T.astype(float) @ rows)
 
-    def live_members(members, live):
-        """Members as (cut, numbers of the runs still live, signs +1/-1)."""
-        return [(cut, n[live[n]], 2.0 * i[live[n]] - 1) for cut, n, i in members]
+    def live_members(members, live, weights):
+        """Members as (cut, numbers of the runs still live, signs +1/-1, their weights)."""
+        return [(cut, n[live[n]], 2.0 * i[live[n]] - 1, weights[n[live[n]]]) for cut, n, i in members]
 
     def model_table(runs, model_numbers, limit, weights, iterations_run):
         """Models of one iteration limit as an Arrow batch."""
@@ -251,86 +249,69 @@ def members_of_label():
     return members
 
 
-def _trainer(rows, size, grid, tolerance):
-    """Trains the tasks of a partition on the broadcast rows."""
-    members, membership, kernels = members_of_label(), membership_function(), _kernels()
-    parameters, limits, numbers = grid.parameters(), list(grid.iterations), grid.numbers()
-    in_group = max(1, 256 // len(parameters))
-
-    def train_tasks(batches):
-        import numpy as np
-
-        blocks = [
-            (label, np.frombuffer(buckets, dtype="u1"), np.frombuffer(vectors).reshape(-1, size))
-            for label, buckets, vectors in rows.value
-        ]
-        for batch in batches:
-            tasks = batch.to_pylist()
-            for start in range(0, len(tasks), in_group):
-                runs = [(task, step, reg) for task in tasks[start:start + in_group] for step, reg in parameters]
-                found = membership([task for task, _, _ in runs])
-                of_label = {label: members(found, label) for label, _, _ in blocks}
-
-                def sums_of(weights, live):
-                    sums = np.zeros_like(weights)
-                    alive = {label: kernels.live_members(known, live) for label, known in of_label.items()}
-                    for label, buckets, vectors in blocks:
-                        kernels.add_block(sums, buckets, vectors, alive[label], weights)
-                    return sums
-
-                for limit, weights, iterations_run in kernels.descend(runs, size, limits, tolerance, sums_of):
-                    yield kernels.model_table(runs, numbers, limit, weights, iterations_run)
-
-    return train_tasks
-
-
 def _partial_sums(membership, shared):
-    """The sums of active ``s * x`` over the blocks of one partition, per run."""
-    members, kernels = members_of_label(), _kernels()
+    """The sums of active ``s * x`` over the blocks of one partition, per run, with the
+    number of the partition. The weights of a label's runs are gathered once."""
+    members, kernels, ready_bytes = members_of_label(), _kernels(), READY_BYTES
 
     def partial_sums(batches):
         import numpy as np
         import pyarrow as pa
+        from pyspark import TaskContext
 
         weights, live = shared.value
         sums = np.zeros_like(weights)
-        known = {}
+        known, held = {}, 0
         for batch in batches:
-            for label, raw_buckets, raw_vectors in zip(*batch.columns):
+            columns = (batch.column(name) for name in ("label", "buckets", "vectors"))
+            for label, raw_buckets, raw_vectors in zip(*columns):
                 name = label.as_py()
                 if name not in known:
-                    known[name] = kernels.live_members(members(membership.value, name), live)
+                    if held > ready_bytes:
+                        known, held = {}, 0
+                    known[name] = kernels.live_members(members(membership.value, name), live, weights)
+                    held += sum(ready.nbytes for *_, ready in known[name])
                 buckets = np.frombuffer(raw_buckets.as_buffer(), dtype="u1")
                 vectors = np.frombuffer(raw_vectors.as_buffer()).reshape(len(buckets), -1)
-                kernels.add_block(sums, buckets, vectors, known[name], weights)
+                kernels.add_block(sums, buckets, vectors, known[name])
         runs = np.flatnonzero(sums.any(axis=1))
+        part = TaskContext.get().partitionId()
         for start in range(0, len(runs), 1024):
-            part = runs[start:start + 1024]
+            slice_of = runs[start:start + 1024]
             yield pa.RecordBatch.from_pydict({
-                "run": pa.array(part, pa.int32()),
-                "sums": pa.array([sums[run].tobytes() for run in part], pa.binary()),
+                "run": pa.array(slice_of, pa.int32()),
+                "part": pa.array(np.full(len(slice_of), part), pa.int32()),
+                "sums": pa.array([sums[run].tobytes() for run in slice_of], pa.binary()),
             })
 
     return partial_sums
 
 
 def _sum_adder():
-    """Adds up the partial sums of each run; a run is in one partition by now."""
+    """Adds up the partial sums of each run; its rows come together and in order."""
 
     def add_sums(batches):
         import numpy as np
         import pyarrow as pa
 
-        totals = {}
-        for batch in batches:
-            for run, sums in zip(batch.column(0).to_pylist(), batch.column(1)):
-                values = np.frombuffer(sums.as_buffer())
-                totals[run] = totals[run] + values if run in totals else values
-        for run, values in totals.items():
-            yield pa.RecordBatch.from_pydict({
+        def added(run, values):
+            return pa.RecordBatch.from_pydict({
                 "run": pa.array([run], pa.int32()), "sums": pa.array([values.tobytes()], pa.binary())
             })
 
+        last, total = None, None
+        for batch in batches:
+            for run, sums in zip(batch.column("run").to_pylist(), batch.column("sums")):
+                values = np.frombuffer(sums.as_buffer())
+                if run == last:
+                    total = total + values
+                    continue
+                if last is not None:
+                    yield added(last, total)
+                last, total = run, values
+        if last is not None:
+            yield added(last, total)
+
     return add_sums
 
 

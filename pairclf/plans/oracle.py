@@ -20,19 +20,20 @@ from ..functions.fixed_values import (
 )
 
 _NAME = "chr((97 + label)::int)"
-_IMAGE = f"{_NAME} || '_' || vec_id || '.jpg.json'"
 
 
-def _source(name: str, number: str) -> str:
+def _source(name: str, number: str, ending: str = "'.jpg.json'") -> str:
     return f"""{name} AS (
   SELECT *, (('0x' || substr(md5(images), 1, 8))::bigint % 100)::int AS bucket
-  FROM (SELECT {_NAME} AS label, {_IMAGE} AS images,
+  FROM (SELECT {_NAME} AS label, {_NAME} || '_' || vec_id || {ending} AS images,
                list_transform(embedding, lambda v: {number}) AS features
         FROM embeddings))"""
 
 
 FEATS = _source("feats", "v::double * 10")
-SECOND = _source("second", "floor(v::double * 10)")
+SECOND = _source(
+    "second", "floor(v::double * 10)", "CASE WHEN vec_id % 4 = 3 THEN '_2.jpg.json' ELSE '.jpg.json' END"
+)
 
 PAIRS = """pairs AS (
   SELECT a.label AS class1, b.label AS class2
@@ -107,12 +108,13 @@ _PREDICTED = """predicted AS (
   WHERE r.bucket >= m.cut)"""
 
 
-def _predicted_all(least_cut: int) -> str:
+def _predicted_all(own_cut: int | None) -> str:
+    own = "" if own_cut is None else f" OR r.bucket >= {own_cut} AND r.images NOT IN (SELECT images FROM feats)"
     return f"""predicted_all AS (
   SELECT m.*, 'all' AS eval_set, r.images, i.label_index,
          (list_dot_product(r.features, m.w) > 0)::int AS label_index_predicted
   FROM models m
-  JOIN second r ON r.bucket >= greatest(m.cut, {least_cut})
+  JOIN second r ON (r.bucket >= m.cut{own})
   JOIN indexed i ON i.kind = m.kind AND i.class1 = m.class1 AND i.class2 = m.class2 AND i.cut = m.cut
        AND i.task_label = CASE WHEN r.label = m.class1 THEN m.class1 ELSE 'All' END
   WHERE m.kind = '1vsAll')"""
@@ -138,14 +140,14 @@ _BEST = """best AS (
                              ORDER BY accuracy DESC NULLS LAST, model_number) = 1)"""
 
 
-def _run(pair_cuts, rest_cuts, least_cut: int, *more: str) -> str:
+def _run(pair_cuts, rest_cuts, own_cut: int | None, *more: str) -> str:
     parts = [FEATS, SECOND, _tasks(pair_cuts, rest_cuts), _MEMBERS, _INDEXED, _training(ITERATIONS),
-             _PREDICTED, _predicted_all(least_cut), _METRICS, *more]
+             _PREDICTED, _predicted_all(own_cut), _METRICS, *more]
     return "WITH RECURSIVE " + ",\n".join(parts) + "\n"
 
 
 _STANDARD = ([PAIR_TRAIN_PERCENT], [REST_TRAIN_PERCENT], SECOND_SOURCE_TRAIN_PERCENT)
-_SWEEP = (SWEEP_TRAIN_PERCENTS, SWEEP_TRAIN_PERCENTS, 0)
+_SWEEP = (SWEEP_TRAIN_PERCENTS, SWEEP_TRAIN_PERCENTS, None)
 _ALL_CUTS = (SWEEP_TRAIN_PERCENTS, [*SWEEP_TRAIN_PERCENTS, REST_TRAIN_PERCENT])
 
 _TASK = "kind, class1, class2, train_fraction"
@@ -163,9 +165,13 @@ def _tasks_only(select: str, *more: str) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "feature_scan": f"""WITH {FEATS}
-SELECT images, label, len(features)::int AS n_features, features[1] AS first_number, features[-1] AS last_number
-FROM feats""",
+    "feature_scan": f"""WITH {FEATS},
+odd AS (
+  SELECT CASE regexp_extract(images, '([0-9]+)', 1)::int % 40 WHEN 1 THEN '_' WHEN 2 THEN '.'
+         WHEN 3 THEN 'great dane%20+é' ELSE '' END || images AS images, features FROM feats),
+letters AS (SELECT *, regexp_replace(images, '[0-9]', '', 'g') AS l FROM odd)
+SELECT images, trim(left(l, greatest(length(l) - 9, 0)), '_') AS label, len(features)::int AS n_features,
+       features[1] AS first_number, features[-1] AS last_number FROM letters""",
     "feature_table": f"WITH {FEATS} SELECT images, label, len(features)::int AS n_features FROM feats",
     "two_source_union": f"""WITH {FEATS}, {SECOND}
 SELECT source, label, count(*)::bigint AS n
@@ -188,6 +194,9 @@ FROM (SELECT *, unnest({ITERATIONS}) AS i FROM tasks)""",
     "pair_filter": f"""WITH {FEATS}, {PAIRS}
 SELECT class1, class2, label, count(*)::bigint AS n
 FROM pairs JOIN feats ON label = class1 OR label = class2 GROUP BY ALL""",
+    "pair_filter_rows": f"WITH {FEATS} SELECT images, label FROM feats WHERE label IN ('a', 'b')",
+    "ova_relabel_rows": f"""WITH {FEATS}
+SELECT images, CASE WHEN label = 'a' THEN label ELSE 'All' END AS label FROM feats""",
     "ova_relabel": f"""WITH {FEATS}
 SELECT c.class1, CASE WHEN f.label = c.class1 THEN f.label ELSE 'All' END AS label, count(*)::bigint AS n
 FROM (SELECT DISTINCT label AS class1 FROM feats) c CROSS JOIN feats f GROUP BY ALL""",
@@ -274,5 +283,6 @@ SELECT run::bigint AS run, event_type AS word, sum(user_id)::bigint AS total,
        event_type || chr(9) || sum(user_id)::bigint || ' occurences' AS line
 FROM runs GROUP BY run, event_type""",
 }
+ORACLE["best_models_object"] = ORACLE["best_models_json"]
 ORACLE["word_totals_stream"] = ORACLE["word_totals"]
 ORACLE["svm_weights_by_passes"] = ORACLE["svm_weights"]

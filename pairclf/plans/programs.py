@@ -20,7 +20,7 @@ from ..operators.selection import (
     last_fraction,
     model_reports,
 )
-from ..operators.splits import split_counts
+from ..operators.splits import split_counts, with_bucket
 from ..operators.words import word_totals
 from ..session import write_table
 from ..sources.count_lines import read_count_lines, write_total_lines
@@ -31,7 +31,7 @@ from .tournament import Tournament, run_tournament
 
 def classify(
     spark: SparkSession, features_dir: str, second_dir: str, out: str, sweep: bool = False,
-    strict: bool = False, grid: Grid = Grid(),
+    strict: bool = False, grid: Grid = Grid(), seed: str = "",
 ) -> Tournament:
     """Train all tasks on the first directory and write every result below ``out``.
 
@@ -48,6 +48,7 @@ def classify(
         SWEEP_TRAIN_PERCENTS if sweep else [REST_TRAIN_PERCENT],
         None if sweep else SECOND_SOURCE_TRAIN_PERCENT,
         grid,
+        seed,
     )
     best = best_models(run.metrics)
     surviving = last_fraction(best)
@@ -59,7 +60,7 @@ def classify(
     write_report(best_model_reports(best), f"{out}/best_model_report")
     write_curve(iteration_curve(run.metrics), f"{out}/curve_iterations")
     write_curve(fraction_curve(best), f"{out}/curve_fraction")
-    first_images(misclassified(features, run.models)).write.json(f"{out}/misclassified")
+    first_images(misclassified(with_bucket(features, seed), run.models)).write.json(f"{out}/misclassified")
     write_best_models(surviving, f"{out}/best_models")
     write_best_models_object(surviving, f"{out}/best_classifiers")
     return run

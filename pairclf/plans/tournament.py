@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -15,7 +15,7 @@ from ..functions.fixed_values import (
 )
 from ..operators.blocks import pack_blocks, vector_size
 from ..operators.classes import Grid, task_table
-from ..operators.scoring import METRICS, evaluate
+from ..operators.scoring import METRICS, evaluate, second_source_rows
 from ..operators.splits import (
     bucket_counts,
     label_index,
@@ -24,17 +24,22 @@ from ..operators.splits import (
     untrainable_tasks,
     with_bucket,
 )
-from ..operators.svm import BROADCAST_BYTES, train
+from ..operators.svm import train
 from ..session import write_table
 
 
-@dataclass(frozen=True)
 class Tournament:
-    """Written tables of one run: counts per task label, models, metrics."""
+    """Written tables of one run: counts per task label, models, and, scored when they
+    are first asked for, metrics."""
 
-    label_counts: DataFrame
-    models: DataFrame
-    metrics: DataFrame
+    def __init__(self, label_counts: DataFrame, models: DataFrame, score: Callable[[], DataFrame]):
+        self.label_counts = label_counts
+        self.models = models
+        self._score = score
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return self._score()
 
     @property
     def untrained(self) -> DataFrame:
@@ -48,37 +53,45 @@ def run_tournament(
     rest_percents: Sequence[int] = (REST_TRAIN_PERCENT,),
     second_percent: int | None = SECOND_SOURCE_TRAIN_PERCENT,
     grid: Grid = Grid(),
-    broadcast_bytes: int = BROADCAST_BYTES,
+    seed: str = "",
 ) -> Tournament:
-    """Train and score all tasks at all shares.
+    """Train all tasks at all shares, to be scored on demand.
 
     ``second`` is a further source that the one-against-the-rest models are also
-    scored on, as ``eval_set`` ``all``; models are chosen on ``test`` alone.
+    scored on, as ``eval_set`` ``all``; models are chosen on ``test`` alone. Another
+    ``seed`` is another split of both sources.
     """
     # Classes, split sizes and label frequencies all come from this small table, so
     # the rows are read once for counting and once for packing.
-    counts = write_table(bucket_counts(with_bucket(features)), "bucket-counts")
+    bucketed = with_bucket(features, seed)
+    counts = write_table(bucket_counts(bucketed), "bucket-counts")
     tasks = write_table(task_table(counts, pair_percents, rest_percents), "tasks")
     label_counts = write_table(task_label_counts(counts, tasks), "label-counts")
-    rows = counts.groupBy().sum("n").first()[0] or 0
+    largest_cut = max([*pair_percents, *rest_percents, 0])
     size = vector_size(features)
-    blocks = pack_blocks(features, size, rows)
-    models = train(blocks, trainable_tasks(label_index(label_counts)), size, rows, grid, broadcast_bytes=broadcast_bytes)
-    metrics = evaluate(blocks, models)
-    second_blocks = None
-    if second is not None:
-        second_blocks = pack_blocks(second, size, second.count())
-        on_second = evaluate(second_blocks, models.filter("kind = '1vsAll'"), "all", second_percent or 0)
-        metrics = metrics.unionByName(on_second)
-    metrics = write_table(metrics.select(METRICS), "metrics")
+    blocks = pack_blocks(bucketed, size, largest_cut)
+    models = train(blocks, trainable_tasks(label_index(label_counts)), size, grid)
     blocks.unpersist()
-    if second_blocks is not None:
-        second_blocks.unpersist()
-    return Tournament(label_counts, models, metrics)
+
+    def score() -> DataFrame:
+        tested = pack_blocks(bucketed, size, largest_cut)
+        metrics = evaluate(tested, models)
+        second_blocks = None
+        if second is not None:
+            rows = second_source_rows(second, features, second_percent, largest_cut, seed)
+            second_blocks = pack_blocks(rows, size, largest_cut)
+            metrics = metrics.unionByName(evaluate(second_blocks, models.filter("kind = '1vsAll'"), "all"))
+        metrics = write_table(metrics.select(METRICS), "metrics")
+        tested.unpersist()
+        if second_blocks is not None:
+            second_blocks.unpersist()
+        return metrics
+
+    return Tournament(label_counts, models, score)
 
 
-def run_sweep(features: DataFrame, second: DataFrame | None = None, grid: Grid = Grid()) -> Tournament:
+def run_sweep(features: DataFrame, second: DataFrame | None = None, grid: Grid = Grid(), seed: str = "") -> Tournament:
     """Both kinds of task at every share of the sweep; both sources split alike."""
     return run_tournament(
-        features, second, SWEEP_TRAIN_PERCENTS, SWEEP_TRAIN_PERCENTS, second_percent=None, grid=grid
+        features, second, SWEEP_TRAIN_PERCENTS, SWEEP_TRAIN_PERCENTS, second_percent=None, grid=grid, seed=seed
     )

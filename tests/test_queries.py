@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import compare, connect
+from pairclf.plans.oracle import ORACLE
+from pairclf.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,13 +15,14 @@ def connection():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_its_sql(spark, connection, name):
     assert compare(spark, connection, SF_DIR, name) is None
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_gives_the_best_model_of_every_pair(spark):

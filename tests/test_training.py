@@ -1,10 +1,13 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from pairclf.operators.blocks import pack_blocks, vector_size
 from pairclf.operators.classes import Grid, relabel_rest, task_table
-from pairclf.operators.scoring import evaluate, predict, prediction_metrics, right, wrong
+from pairclf.operators import svm
+from pairclf.operators.scoring import evaluate, predict, prediction_metrics, right, second_source_rows, wrong
 from pairclf.operators.splits import bucket_counts, label_index, task_label_counts, trainable_tasks, with_bucket
 from pairclf.operators.svm import model_weights, train
 from pairclf.plans.tournament import run_tournament
@@ -13,8 +16,6 @@ from pairclf.sources.feature_files import feature_rows
 from brute import bucket, descend, label_order, side_of
 
 GRID = Grid([1, 10, 30])
-# Bounds on the broadcast rows that choose one way of training or the other.
-WAYS = [0, 1_000_000]
 
 
 @pytest.fixture(scope="module")
@@ -27,9 +28,9 @@ def trained(points, cache):
     if not cache:
         tasks = task_table(points, [50], [50, 80])
         indexed = label_index(task_label_counts(bucket_counts(with_bucket(points)), tasks))
-        blocks = pack_blocks(points, 5, 240)
+        blocks = pack_blocks(points, 5, 80)
         runnable = trainable_tasks(indexed).cache()
-        cache.update(points=points, tasks=runnable, blocks=blocks, models=train(blocks, runnable, 5, 240, GRID).cache())
+        cache.update(points=points, tasks=runnable, blocks=blocks, models=train(blocks, runnable, 5, GRID).cache())
     return cache
 
 
@@ -47,30 +48,73 @@ def test_weights_equal_plain_descent(trained):
         assert model["class1_index"] == label_order(rows, model, model["cut"]).index(model["class1"])
 
 
-@pytest.mark.parametrize("way", WAYS)
-def test_early_stop_equals_plain_descent(trained, way):
+def test_early_stop_equals_plain_descent(trained):
     rows = [tuple(r) for r in trained["points"].collect()]
-    models = train(
-        trained["blocks"], trained["tasks"], 5, 240, Grid([60]), tolerance=0.05, broadcast_bytes=way
-    ).collect()
+    models = train(trained["blocks"], trained["tasks"], 5, Grid([60]), tolerance=0.05).collect()
     assert min(m["iterations_run"] for m in models) < max(m["iterations_run"] for m in models)
     for model in models:
         w, run = descend(rows, model, model["cut"], 60, tolerance=0.05)
         assert np.allclose(model["weights"], w, atol=1e-10) and model["iterations_run"] == run
 
 
-@pytest.mark.parametrize("partials_bytes", [0, 1_000_000])
-def test_passes_in_chunks_give_the_same_models(trained, partials_bytes):
+def test_training_in_chunks_gives_the_same_models(trained):
     whole = weights_of(trained["models"])
-    many = pack_blocks(trained["points"], 5, 240).repartition(6).sortWithinPartitions("label").cache()
-    small = train(
-        many, trained["tasks"], 5, 240, GRID, broadcast_bytes=0, chunk_bytes=2000, partials_bytes=partials_bytes
-    )
+    many = pack_blocks(trained["points"].repartition(6), 5, 80)
+    small = train(many, trained["tasks"], 5, GRID, chunk_bytes=2000)
     assert small.select("model_id").distinct().count() == len(whole)
     for key, w in weights_of(small).items():
         assert np.allclose(w, whole[key], atol=1e-10)
 
 
+def test_reruns_give_the_same_bits(trained):
+    again = train(trained["blocks"], trained["tasks"].filter("kind = '1vs1'"), 5, Grid([20]))
+    more = train(trained["blocks"], trained["tasks"].filter("kind = '1vs1'"), 5, Grid([20]))
+    first, second = weights_of(again), weights_of(more)
+    assert first.keys() == second.keys() and all((first[k] == second[k]).all() for k in first)
+
+
+def test_blocks_part_at_the_largest_cut_and_by_label(trained):
+    for block in trained["blocks"].collect():
+        buckets = np.frombuffer(block["buckets"], dtype="u1")
+        assert block["min_bucket"] == buckets[0] and (np.diff(buckets.astype(int)) >= 0).all()
+        assert (buckets < 80).all() or (buckets >= 80).all()
+    # Labels are gathered over Arrow batches: one train and one test block for each.
+    one = pack_blocks(trained["points"].coalesce(1), 5, 80)
+    assert one.count() == 8
+
+
+def test_a_pass_reads_only_the_train_blocks_of_its_labels(trained, monkeypatch):
+    seen = []
+    original = svm._passes
+
+    class Spy:
+        def __init__(self, blocks):
+            self.blocks, self.sparkSession = blocks, blocks.sparkSession
+
+        def filter(self, condition):
+            return Spy(self.blocks.filter(condition))
+
+        def mapInArrow(self, *arguments):
+            seen.extend((r["label"], r["min_bucket"]) for r in self.blocks.select("label", "min_bucket").collect())
+            return self.blocks.mapInArrow(*arguments)
+
+    monkeypatch.setattr(svm, "_passes", lambda blocks, *rest: original(Spy(blocks), *rest))
+    train(trained["blocks"], trained["tasks"].filter("kind = '1vs1' and class1 = 'a' and class2 = 'c'"), 5, Grid([3]))
+    assert {label for label, _ in seen} == {"a", "c"} and max(bucket for _, bucket in seen) < 50 + 30
+
+
+def test_iterations_leave_no_broadcast_files(spark, trained):
+    folder = spark.sparkContext._temp_dir
+    count = lambda: sum(len(files) for _, _, files in os.walk(folder))
+    tasks = trained["tasks"].filter("kind = '1vs1'")
+    train(trained["blocks"], tasks, 5, Grid([2]))
+    before = count()
+    models = train(trained["blocks"], tasks, 5, Grid([40]), chunk_bytes=2000)
+    predict(trained["points"], models, chunk_bytes=200)
+    evaluate(trained["blocks"], models, chunk_bytes=200)
+    assert count() - before <= 3
+
+
 def test_weights_equal_the_library_trainer(spark, trained):
     from pyspark.mllib.classification import LabeledPoint, SVMWithSGD
 
@@ -88,12 +132,11 @@ def test_weights_equal_the_library_trainer(spark, trained):
             assert [int(np.dot(v, ours) > 0) for v in vectors] == [library.predict(v) for v in vectors]
 
 
-@pytest.mark.parametrize("way", WAYS)
-def test_grid_of_steps_and_regularisation(trained, way):
+def test_grid_of_steps_and_regularisation(trained):
     rows = [tuple(r) for r in trained["points"].collect()]
     grid = Grid([5, 20], [0.5, 1.0], [0.01, 0.1])
     pairs = trained["tasks"].filter("kind = '1vs1'")
-    models = train(trained["blocks"], pairs, 5, 240, grid, broadcast_bytes=way).collect()
+    models = train(trained["blocks"], pairs, 5, grid).collect()
     assert len(models) == 6 * 8
     for model in models:
         w, _ = descend(rows, model, 50, model["numIter"], model["stepSize"], model["regParam"])
@@ -129,15 +172,25 @@ def test_predictions_and_counts_agree_with_brute_force(trained):
         assert {tuple(r) for r in one.collect()} == {tuple(r) for r in two.collect()}
 
 
-def test_second_source_never_scores_a_trained_image(trained):
+def test_second_source_scores_its_own_names_from_its_own_share_on(spark, trained):
     rows = [tuple(r) for r in trained["points"].collect()]
+    own = [(label, x, f"{label}_{i}_2.jpg.json") for i, (label, x, _) in enumerate(rows)]
+    second = feature_rows(spark, rows[:100] + own)
+    scored = second_source_rows(second, trained["points"], 50, 80)
     rest = trained["models"].filter("kind = '1vsAll' and numIter = 10")
     totals = {
-        (r["class1"], r["train_fraction"]): r["total"]
-        for r in evaluate(trained["blocks"], rest, "all", least_cut=60).collect()
+        (r["class1"], r["train_fraction"]): r["total"] for r in evaluate(pack_blocks(scored, 5, 80), rest, "all").collect()
     }
-    assert totals["a", 0.5] == sum(bucket(image) >= 60 for _, _, image in rows)
-    assert totals["a", 0.8] == sum(bucket(image) >= 80 for _, _, image in rows)
+    for cut in (50, 80):
+        known = sum(bucket(image) >= cut for _, _, image in rows[:100])
+        assert totals["a", cut / 100] == known + sum(bucket(image) >= 50 for _, _, image in own)
+
+
+def test_uneven_and_null_vectors_raise_when_scored(spark, trained):
+    for bad in ([1.0], [1.0, None, 1.0, 1.0, 1.0], None):
+        frame = feature_rows(spark, [("a", [1.0] * 5, f"a_{i}.jpg.json") for i in range(8)] + [("a", bad, "a_9.jpg.json")])
+        with pytest.raises(Exception, match="numbers expected|holds a null"):
+            predict(frame, trained["models"]).collect()
 
 
 def test_no_test_rows_means_null_accuracy(spark):
@@ -148,17 +201,16 @@ def test_no_test_rows_means_null_accuracy(spark):
     assert (metric["total"], metric["accuracy"], metric["error_rate"]) == (0, None, None)
 
 
-@pytest.mark.parametrize("way", WAYS)
-def test_one_hot_class_and_uneven_vectors(spark, way):
+def test_one_hot_class_and_uneven_vectors(spark):
     names = [("a", i) for i in range(400)] + [("b", i) for i in range(5)] + [("c", i) for i in range(5)]
     frame = feature_rows(spark, [(c, [float(ord(c) - 98), 1.0], f"{c}_{i}.jpg.json") for c, i in names])
-    run = run_tournament(frame, grid=Grid([5]), broadcast_bytes=way)
+    run = run_tournament(frame, grid=Grid([5]))
     rows = [tuple(r) for r in frame.collect()]
     for model in run.models.collect():
         assert np.allclose(model["weights"], descend(rows, model, model["cut"], 5)[0], atol=1e-10)
     uneven = feature_rows(spark, [("a", [1.0], "a_1"), ("a", [1.0, 2.0], "a_2")])
     with pytest.raises(Exception, match="numbers expected"):
-        pack_blocks(uneven, 1, 2).count()
+        pack_blocks(uneven, 1).count()
     assert vector_size(frame) == 2
 
 
