@@ -11,8 +11,13 @@ def last_line(text: Column) -> Column:
     return F.try_element_at(lines, F.lit(-1))
 
 
+# Fixed value: decimal numbers with or without exponent, infinities and nan; the cast
+# alone would also take type suffixes and hexadecimal numbers.
+NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf(inity)?|nan)\s*$"
+
+
 def _number(text: Column) -> Column:
-    value = text.try_cast("double")
+    value = F.when(text.rlike(NUMBER), text.try_cast("double"))
     return F.when(
         value.isNull(), F.raise_error(F.concat(F.lit("not a number: "), text)).cast("double")
     ).otherwise(value)

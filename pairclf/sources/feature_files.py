@@ -15,12 +15,31 @@ FEATURE_SCHEMA = "label string, features array<double>, images string"
 def scan_feature_files(spark: SparkSession, path: str) -> DataFrame:
     """One row ``(images, value)`` per file of the directory, not recursive.
 
-    Spark packs small files into scan partitions by itself. Names that begin
-    with ``_`` or ``.`` count as hidden files and are not listed by Spark.
+    Spark packs small files into scan partitions by itself, and gives their names
+    URL-encoded. Names that begin with ``_`` or ``.`` it takes for hidden files: those
+    are listed and read by tasks of their own.
     """
-    return spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_name").alias("images"), "value"
-    )
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    seen = spark.read.text(path, wholetext=True).select(name.alias("images"), "value")
+    return seen.unionByName(_hidden_files(spark, path))
+
+
+def _hidden_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(images, value)`` of the files that Spark's own readers leave out by name."""
+    open_path = _file_system()
+
+    def read(batches):
+        import pyarrow as pa
+
+        files, root = open_path(path)
+        for batch in batches:
+            for name in batch.column("images").to_pylist():
+                with files.open_input_stream(f"{root}/{name}") as file:
+                    text = file.read().decode("utf-8", "replace")
+                yield pa.RecordBatch.from_pydict({"images": pa.array([name]), "value": pa.array([text], pa.string())})
+
+    hidden = list_files(spark, path).filter((F.col("size") > 0) & F.substring("images", 1, 1).isin("_", "."))
+    return hidden.repartition(spark.sparkContext.defaultParallelism).mapInArrow(read, "images string, value string")
 
 
 def parse_feature_records(records: DataFrame, strict: bool = False) -> DataFrame:
@@ -41,25 +60,34 @@ def parse_feature_records(records: DataFrame, strict: bool = False) -> DataFrame
     )
 
 
-def empty_files(spark: SparkSession, path: str) -> DataFrame:
-    """Names of the files without any byte, which Spark's own readers pass over.
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(images, size)`` of all files of the directory, hidden ones too.
 
-    A listing of names and sizes only, made by one task without reading a file.
+    One task lists names and sizes, without reading a file, and hands them on in slices.
     """
     open_path = _file_system()
 
-    def list_empty(batches):
+    def listed(batches):
         import pyarrow as pa
         from pyarrow import fs
 
         for _ in batches:
             pass
         files, root = open_path(path)
-        found = files.get_file_info(fs.FileSelector(root))
-        names = [entry.base_name for entry in found if entry.type == fs.FileType.File and entry.size == 0]
-        yield pa.RecordBatch.from_pydict({"images": pa.array(names, pa.string())})
+        entries = files.get_file_info(fs.FileSelector(root))
+        for start in range(0, len(entries), 10_000):
+            found = [e for e in entries[start:start + 10_000] if e.type == fs.FileType.File]
+            yield pa.RecordBatch.from_pydict({
+                "images": pa.array([e.base_name for e in found], pa.string()),
+                "size": pa.array([e.size for e in found], pa.int64()),
+            })
 
-    return spark.range(0, 1, 1, 1).mapInArrow(list_empty, "images string")
+    return spark.range(0, 1, 1, 1).mapInArrow(listed, "images string, size bigint")
+
+
+def empty_files(spark: SparkSession, path: str) -> DataFrame:
+    """Names of the files without any byte, which Spark's own readers pass over."""
+    return list_files(spark, path).filter("size = 0").select("images")
 
 
 def reject_records(records: DataFrame) -> DataFrame:

@@ -106,3 +106,13 @@ def test_curve_report_and_word_files(spark, tmp_path):
     totals = word_totals(read_count_lines(spark, str(tmp_path / "in.txt"))).orderBy("word").coalesce(1)
     write_total_lines(totals, str(tmp_path / "words"))
     assert text_of(spark, tmp_path / "words") == "a\t3 occurences\nb\t1 occurences\n"
+
+
+def test_names_of_every_kind_come_back_as_they_are(spark, tmp_path):
+    names = ["_x_1.jpg.json", ".y_2.jpg.json", "great dane_3.jpg.json", "a%20b_4.jpg.json", "a+b_5.jpg.json", "é_6.jpg.json"]
+    for name in names:
+        (tmp_path / name).write_text("[1.0,2.0]")
+    (tmp_path / "_empty_1.jpg.json").write_text("")
+    rows = {r["images"]: r["label"] for r in read_feature_files(spark, str(tmp_path)).collect()}
+    assert rows == dict(zip(names, ["x", ".y", "great dane", "a%b", "a+b", "é"]))
+    assert [r["images"] for r in read_rejects(spark, str(tmp_path)).collect()] == ["_empty_1.jpg.json"]

@@ -96,3 +96,16 @@ def test_bad_count_line_raises(spark, line):
     frame = spark.createDataFrame([(line,)], "value string")
     with pytest.raises(Exception, match="not a 'word count' line"):
         parse_count_lines(frame).collect()
+
+
+@pytest.mark.parametrize("text", ["1.5f", "0x1p3", "1d", "1e", "--1", ""])
+def test_only_plain_numbers_are_numbers(spark, text):
+    frame = spark.createDataFrame([(f"[1.0,{text}]",)], "line string")
+    with pytest.raises(Exception, match="not a number"):
+        frame.select(parse_vector(F.col("line"))).collect()
+
+
+def test_numbers_with_signs_exponents_and_infinities(spark):
+    frame = spark.createDataFrame([("[ -1.5e-3 , +2. , .5,inf,-Infinity, 7]",)], "line string")
+    row = frame.select(parse_vector(F.col("line")).alias("v")).first()
+    assert row["v"] == [-1.5e-3, 2.0, 0.5, float("inf"), float("-inf"), 7.0]
