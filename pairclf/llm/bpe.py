@@ -40,7 +40,7 @@ LATIN_NUMBERS = "0-9²³¹¼-¾"
 LATIN_SPACES = "\\x09-\\x0d\\x20\\x85\\xa0"
 
 #: Pieces that a worker remembers; it forgets all of them when there are more.
-CACHED_PIECES = 600_000
+CACHED_PIECES = 250_000
 #: Longer pieces are encoded anew each time.
 CACHED_BYTES = 64
 
@@ -285,6 +285,16 @@ def _encoded(documents, path, text, keep, schema, output) -> DataFrame:
     return coded.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *names)
 
 
+def encode_checked(documents: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` and, per row, the token ids and whether they decode to the text."""
+    return _encoded(documents, path, text, keep, "ids array<int>, round_trip boolean", _ids_and_check)
+
+
+def _ids_and_check(coder: Codec, texts: list[str]) -> list[pa.Array]:
+    ids, decoded = _ids_and_text(coder, texts)
+    return [ids, pa.array([a == b for a, b in zip(decoded.to_pylist(), texts)], pa.bool_())]
+
+
 def _ids_and_text(coder: Codec, texts: list[str]) -> list[pa.Array]:
     ids = [coder.encode(t) for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)

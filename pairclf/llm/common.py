@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 #: Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows that one Arrow batch hands to Python work, and the characters in them.
-CHUNK_CHARS = 4_000_000
+#: Bytes of text that are worked on at once in Python.
+CHUNK_CHARS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

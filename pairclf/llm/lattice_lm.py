@@ -34,9 +34,9 @@ from .common import map_batches, text_chunks, whole_text
 #: Words whose counts go to every task: some 10 MB.
 HEAVY_WORDS = 200_000
 #: Words that a task counts before it hands its counts on.
-HELD_WORDS = 300_000
+HELD_WORDS = 200_000
 #: Words that a worker remembers with their lattice scores.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 250_000
 #: What is added to the count of every usable piece.
 SMOOTHING = 0.1
 #: The end of a text, which no word can be.

@@ -43,7 +43,7 @@ LEAST_AGREEMENT = 0.6
 BLOCK_ROWS = 1_024
 BLOCK_SHINGLES = 1_000_000
 
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 150_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

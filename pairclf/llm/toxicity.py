@@ -41,7 +41,7 @@ LEAST_ENDINGS = 6
 #: Words to either side that tell quotation from abuse.
 WINDOW = 6
 #: Words that a worker remembers with their matches.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 #: States of the automaton that a worker keeps.
 MAX_STATES = 50_000
 
