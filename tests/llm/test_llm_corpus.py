@@ -130,6 +130,33 @@ def test_recurring_lines_go_and_copies_stay(spark):
     assert "came in" in cut[30] and all("came in" not in cut[30 + i] for i in range(1, 5))
 
 
+def test_passages_of_many_lines_go_from_unlike_hosts_only(spark):
+    def own(i, count=4):
+        return [" ".join(letters(12, 3000 + 20 * i + k)) for k in range(count)]
+
+    two, five = ([" ".join(letters(10, seed + k)) for k in range(n)] for seed, n in ((5000, 2), (5100, 5)))
+    hosts = [(i, own(i)) for i in range(6)]
+    rows = [(i, [*o[:2], *(two if i < 3 else five), *o[2:]]) for i, o in hosts]
+    logs = [(10 + i, [*own(10 + i), f"user {i}{i} logged in from host {i * 7}", f"user {i}{i} then left the host {i * 7}"]) for i in range(3)]
+    # Near copies with a word changed in most lines, all with a passage that one other text has.
+    shared = [" ".join(letters(10, 5200 + k)) for k in range(3)]
+    base = own(30, 12)
+    near = [(20 + n, [*shared, *[f"{line[: line.rindex(' ')]} changed{n}" if k % 4 else line for k, line in enumerate(base)]]) for n in range(8)]
+    other = [(40, [*own(40), *shared, *own(41)])]
+    every = {i: "\n".join(lines) for i, lines in rows + logs + near + other}
+    df = spark.createDataFrame(list(every.items()), "doc_id bigint, text string")
+    cut = {r["doc_id"]: r["text"] for r in drop_recurring_lines(df).collect()}
+    for i in (0, 3, 10, 20):  # the first hosts
+        assert cut[i] == every[i]
+    for i in (1, 2, 4, 5):
+        assert cut[i] == "\n".join(hosts[i][1])
+    for i in (11, 12):
+        assert cut[i] == "\n".join(own(i))
+    assert cut[40] == "\n".join([*own(40), *own(41)])
+    for i, lines in near[1:]:  # the passage goes, what only copies share stays
+        assert cut[i] == "\n".join(lines[3:])
+
+
 def test_targets_fill_up_to_the_limit_and_share_the_excess():
     targets = source_targets({"a": 10, "b": 1000, None: 1000}, (3, 1, 2), 150, 2)
     assert targets["a"] == 20 and sum(targets.values()) == 3015
