@@ -157,6 +157,21 @@ def test_passages_of_many_lines_go_from_unlike_hosts_only(spark):
         assert cut[i] == "\n".join(lines[3:])
 
 
+def test_a_leaf_holds_several_templates_among_prose(spark):
+    kinds = ["was moved from {} to the main store", "has left for {} and will return soon", "could not find {} in any open list"]
+    names = ["ann", "bob", "cid"]
+    bodies = [f"then the clerk {kind.format(n)}" for kind in kinds for n in names]
+    bodies += [f"every old ship from {n} must wait outside" for n in names[:2]]
+    bodies += [f"then the clerk {' '.join(letters(8, 7000 + i))}" for i in range(20)]
+    rows = [(i, f"{' '.join(letters(12, 7100 + i))}\n{body}\n{' '.join(letters(12, 7200 + i))}") for i, body in enumerate(bodies)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    cut = {r["doc_id"]: r["text"] for r in drop_recurring_lines(df).collect()}
+    firsts = (0, 3, 6, 9)
+    for i, text in rows:
+        own = text.split("\n")
+        assert cut[i] == (text if i in firsts or i > 10 else "\n".join([own[0], own[2]]))
+
+
 def test_targets_fill_up_to_the_limit_and_share_the_excess():
     targets = source_targets({"a": 10, "b": 1000, None: 1000}, (3, 1, 2), 150, 2)
     assert targets["a"] == 20 and sum(targets.values()) == 3015
