@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe import encode_digests
 from .common import crc_bucket, table
+from .fill_in_middle import fill_in_middle, restored
+from .filter_audit import filter_audit
 from .lattice_lm import score_texts
 from .line_templates import drop_recurring_lines
 from .mixing import mix
@@ -16,11 +18,14 @@ from .near_duplicates import near_duplicate_classes
 from .preferences import conversations, format_preferences, with_foreign_replies
 from .prefix_hashes import edited_fingerprints
 from .secrets import KINDS, find_secrets
+from .token_files import read_token_files, write_token_files
 from .top_k import top_k
 from .toxicity import fit, labelled_sample, score
 
 #: The vocabulary file of the encoding queries.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+#: That of the token files.
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +119,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(), 256).alias("restored_sha256"),
+    )
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_token_files(spark, write_token_files(table(spark, sf_dir, "documents"), WORD_VOCABULARY))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_preferences": op1_preferences,
     "op2_secrets": op2_secrets,
@@ -125,4 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lattice_lm": op8_lattice_lm,
     "op9_line_templates": op9_line_templates,
     "op10_mixing": op10_mixing,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_token_files": op12_token_files,
+    "op13_filter_audit": op13_filter_audit,
 }

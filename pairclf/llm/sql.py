@@ -134,9 +134,75 @@ SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
 FROM placed
 """
 
+OP11_FILL_IN_MIDDLE = """
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), g AS (
+    SELECT *, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+        ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d
+), f AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+        WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM g
+), p AS (
+    SELECT *, substring(t, 1, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1, n - b) AS suffix FROM f
+)
+SELECT doc_id, n::BIGINT AS n, form,
+    CASE WHEN form <> 'plain' THEN a::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN (b - a)::BIGINT END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM p
+"""
+
+OP13_FILTER_AUDIT = f"""
+WITH RECURSIVE letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter),
+orders AS (
+    SELECT letter AS filter_order FROM letters
+    UNION ALL
+    SELECT filter_order || letter FROM orders, letters WHERE NOT contains(filter_order, letter)
+), steps AS (
+    SELECT filter_order, step, filter_order[step] AS letter, filter_order[1:step - 1] AS before
+    FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step) WHERE length(filter_order) = 5
+), d AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+        regexp_extract_all(coalesce(text, ''), {_quoted(WORD)}) AS words, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+    FROM documents
+), l AS (
+    SELECT doc_id, coalesce(max((quality = 1)::INT), 0) AS good, coalesce(max((toxic = 1)::INT), 0) AS toxic FROM labels GROUP BY doc_id
+), fails AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN least < doc_id THEN 'E' ELSE '' END AS failed
+    FROM d LEFT JOIN l USING (doc_id)
+), counted AS (
+    SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM fails GROUP BY part, failed
+), judged AS (
+    SELECT *, contains(failed, letter) AS failing, translate(failed, before, '') = failed AS reached FROM counted, steps
+), summed AS (
+    SELECT part, filter_order, step, letter,
+        coalesce(sum(n) FILTER (reached AND NOT failing), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (reached AND failing), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (NOT reached AND failing), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (failed = letter), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (reached AND failing), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (reached AND failing), 0)::BIGINT AS toxic_lost
+    FROM judged GROUP BY part, filter_order, step, letter
+)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM summed
+"""
+
 ORACLE: dict[str, str] = {
     "op1_preferences": OP1_PREFERENCES,
     "op2_secrets": OP2_SECRETS,
     "op6_top_k": OP6_TOP_K,
     "op10_mixing": OP10_MIXING,
+    "op11_fill_in_middle": OP11_FILL_IN_MIDDLE,
+    "op13_filter_audit": OP13_FILTER_AUDIT,
 }
