@@ -26,12 +26,14 @@ an empty text has the end id alone.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -49,10 +51,42 @@ HEADER = struct.Struct("<4sIQQQ")
 #: Ids of a file, and ids that are decoded at once.
 FILE_IDS = 4_000_000
 SLICE_IDS = 1 << 20
-#: Words that a worker keeps the ids of, in each of two generations, and their bytes.
-KEPT_WORDS = 300_000
+#: Ids below this are counted in an array, others by sorting; the ranks are the same.
+COUNTED_IDS = 1 << 20
+#: Words and pieces that a worker keeps the ids of, in each of two generations, and the
+#: length of the longest.
+KEPT_WORDS = 200_000
 KEPT_BYTES = 48
 
+#: The rules under which words of Latin letters are split here.
+RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+LETTERS, NUMBERS = "a-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼-¾"
+PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}]+").findall
+#: Characters of words that the library takes whole: beyond Latin, other white space, and
+#: a letter whose lower case is two characters.
+BEYOND = re.compile("[^\x00-\x84\x86-\x9f\xa1-\u012f\u0131-\u017f]").search
+#: Byte -> the letter that stands for it in the vocabulary: printable Latin-1 as it is, the
+#: others in order from U+0100 on.
+PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LETTERS = {b: chr(0x100 + i) for i, b in enumerate(sorted(set(range(256)) - set(PRINTABLE)))}
+
 #: Control byte -> the lengths of its four ranks, and their sum.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 SPANS = LENGTHS.sum(axis=1).astype(np.int64)
@@ -91,6 +125,13 @@ def decode_ranks(control: np.ndarray, data: np.ndarray, count: int) -> np.ndarra
 
 def by_frequency(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(id of each rank, rank of each given id)."""
+    if len(ids) and ids.max() < COUNTED_IDS:
+        counts = np.bincount(ids)
+        known = np.flatnonzero(counts)
+        order = known[np.argsort(-counts[known], kind="stable")]
+        rank = np.empty(len(counts), dtype=np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        return order.astype("<u4"), rank[ids]
     known, places, counts = np.unique(ids, return_inverse=True, return_counts=True)
     order = np.argsort(-counts, kind="stable")
     rank = np.empty(len(order), dtype=np.uint32)
@@ -141,12 +182,32 @@ def read_file(file) -> Iterator[tuple[int | None, int, bool, np.ndarray]]:
 # ---------------------------------------------------------------- encoding
 
 
+class Kept(dict):
+    """Ids by text, made by ``make`` where they are not known, kept in two generations:
+    when the younger one is full it becomes the older one, so frequent texts stay."""
+
+    def __init__(self, make: Callable, size: int):
+        self.make, self.size, self.older = make, size, {}
+
+    def __missing__(self, text):
+        ids = self.older.get(text)
+        if ids is None:
+            ids = self.make(text)
+        if len(text) <= KEPT_BYTES:
+            if len(self) >= self.size:
+                self.older = dict(self)
+                self.clear()
+            self[text] = ids
+        return ids
+
+
 class WordEncoder:
     """Ids of whole texts, by the library, word by word.
 
     In the vocabularies this serves, no merge and no rule reaches across white space, so a
-    text's ids are those of its words. Words are kept in two generations: when the younger
-    one is full it becomes the older one, so frequent words stay.
+    text's ids are those of its words. Where the vocabulary's own rules are ``RULES``,
+    words of Latin letters are lower-cased and split here, and the library's model merges
+    the pieces; any other word goes through the library whole.
     """
 
     def __init__(self, spec: str):
@@ -156,8 +217,12 @@ class WordEncoder:
         self.library.no_padding()
         if not self.by_words():
             raise ValueError("this vocabulary does not drop the white space between words")
-        self.older: dict[bytes, bytes] = {}
-        self.words = _Words(self)
+        parts = json.loads(spec)
+        self.special = [token["content"] for token in parts.get("added_tokens", [])]
+        self.known_rules = {name: parts.get(name) for name in RULES} == RULES and all(len(s) > 2 and s[:2] == "<|" for s in self.special)
+        self.model = self.library.model
+        self.words = Kept(self.of_word, KEPT_WORDS)
+        self.pieces = Kept(self.of_piece, KEPT_WORDS)
 
     def by_words(self) -> bool:
         """Whether words joined by white space get the ids of the words."""
@@ -168,27 +233,22 @@ class WordEncoder:
     def of_text(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
+    def of_word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if not self.known_rules or BEYOND(text) or "<|" in text:
+            return array("I", self.of_text(text)).tobytes()
+        return b"".join(map(self.pieces.__getitem__, PIECES(text.lower())))
+
+    def of_piece(self, piece: str) -> bytes:
+        if not piece.isascii() or not piece.isprintable():
+            piece = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return array("I", [token.id for token in self.model.tokenize(piece)]).tobytes()
+
     def ids(self, text: bytes) -> bytes:
         """The ids of a text as four-byte numbers."""
         return b"".join(map(self.words.__getitem__, text.split()))
 
 
-class _Words(dict):
-    def __init__(self, encoder: WordEncoder):
-        self.encoder = encoder
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.encoder.older.get(word)
-        if ids is None:
-            ids = array("I", self.encoder.of_text(word.decode())).tobytes()
-        if len(word) <= KEPT_BYTES:
-            if len(self) >= KEPT_WORDS:
-                self.encoder.older = dict(self)
-                self.clear()
-            self[word] = ids
-        return ids
-
-
 @lru_cache(maxsize=1)  # per worker: the vocabulary of a job
 def encoder(spec: str) -> WordEncoder:
     return WordEncoder(spec)

@@ -140,6 +140,25 @@ def test_words_equal_the_library_on_odd_texts(monkeypatch, library):
         assert np.frombuffer(coder.ids(text.encode()), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_equal_the_library_for_all_latin_characters(library):
+    coder = tf.WordEncoder(tf.read_spec(WORD_VOCABULARY))
+    assert coder.known_rules
+    for c in map(chr, range(0x250)):
+        text = f"a{c}b {c} '{c}{c}s 1{c}2 {c}'ve É{c}, ab{c.upper()}.{c}"
+        assert np.frombuffer(coder.ids(text.encode()), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(c)
+
+
+def test_other_rules_go_through_the_library_whole(library):
+    import json
+
+    spec = json.loads(tf.read_spec(WORD_VOCABULARY))
+    spec["normalizer"]["normalizers"].pop()  # keeps capitals
+    coder, other = tf.WordEncoder(json.dumps(spec)), Tokenizer.from_str(json.dumps(spec))
+    text = "One TWO three's 4 five."
+    assert not coder.known_rules
+    assert np.frombuffer(coder.ids(text.encode()), "<u4").tolist() == other.encode(text, add_special_tokens=False).ids
+
+
 def test_a_vocabulary_that_keeps_white_space_raises():
     with pytest.raises(ValueError):
         tf.WordEncoder(tf.read_spec(public_tokenizers.path("byte_bpe_50k.json")))
