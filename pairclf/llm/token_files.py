@@ -48,14 +48,15 @@ from .common import map_batches, text_chunks, whole_text
 MAGIC = b"TIDS"
 VERSION = 1
 HEADER = struct.Struct("<4sIQQQ")
-#: Ids of a file, and ids that are decoded at once.
+#: Ids of a file, and ids that are coded at once, a multiple of four.
 FILE_IDS = 4_000_000
-SLICE_IDS = 1 << 20
+SLICE_IDS = 1 << 18
 #: Ids below this are counted in an array, others by sorting; the ranks are the same.
 COUNTED_IDS = 1 << 20
 #: Words and pieces that a worker keeps the ids of, in each of two generations, and the
 #: length of the longest.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 20_000
+KEPT_PIECES = 200_000
 KEPT_BYTES = 48
 
 #: The rules under which words of Latin letters are split here.
@@ -78,7 +79,7 @@ RULES = {
     },
 }
 LETTERS, NUMBERS = "a-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼-¾"
-PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}]+").findall
+PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\x20\x09-\x0D{LETTERS}{NUMBERS}]+").findall
 #: Characters of words that the library takes whole: beyond Latin, other white space, and
 #: a letter whose lower case is two characters.
 BEYOND = re.compile("[^\x00-\x84\x86-\x9f\xa1-\u012f\u0131-\u017f]").search
@@ -143,14 +144,14 @@ def write_file(out, documents: list[int | None], ids: list[bytes]) -> None:
     """Write documents, each with its ids as four-byte numbers, to an open file."""
     counts = np.array([len(i) // 4 for i in ids], dtype="<u8")
     table, ranks = by_frequency(np.frombuffer(b"".join(ids), dtype="<u4"))
-    control, data = encode_ranks(ranks)
+    coded = [encode_ranks(ranks[start : start + SLICE_IDS]) for start in range(0, len(ranks), SLICE_IDS)]
     out.write(HEADER.pack(MAGIC, VERSION, len(documents), len(ranks), len(table)))
     out.write(table.tobytes())
     out.write(np.array([d or 0 for d in documents], dtype="<i8").tobytes())
     out.write(bytes(d is None for d in documents))
     out.write(counts.tobytes())
-    out.write(control)
-    out.write(data)
+    out.writelines(control for control, _ in coded)
+    out.writelines(data for _, data in coded)
 
 
 def read_file(file) -> Iterator[tuple[int | None, int, bool, np.ndarray]]:
@@ -206,8 +207,8 @@ class WordEncoder:
 
     In the vocabularies this serves, no merge and no rule reaches across white space, so a
     text's ids are those of its words. Where the vocabulary's own rules are ``RULES``,
-    words of Latin letters are lower-cased and split here, and the library's model merges
-    the pieces; any other word goes through the library whole.
+    texts and words of Latin letters are lower-cased and split here, and the library's
+    model merges the pieces; any other word goes through the library whole.
     """
 
     def __init__(self, spec: str):
@@ -222,7 +223,7 @@ class WordEncoder:
         self.known_rules = {name: parts.get(name) for name in RULES} == RULES and all(len(s) > 2 and s[:2] == "<|" for s in self.special)
         self.model = self.library.model
         self.words = Kept(self.of_word, KEPT_WORDS)
-        self.pieces = Kept(self.of_piece, KEPT_WORDS)
+        self.pieces = Kept(self.of_piece, KEPT_PIECES)
 
     def by_words(self) -> bool:
         """Whether words joined by white space get the ids of the words."""
@@ -233,20 +234,26 @@ class WordEncoder:
     def of_text(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
+    def plain(self, text: str) -> bool:
+        """Whether the text can be split here."""
+        return self.known_rules and "<|" not in text and (text.isascii() or not BEYOND(text))
+
     def of_word(self, word: bytes) -> bytes:
         text = word.decode()
-        if not self.known_rules or BEYOND(text) or "<|" in text:
-            return array("I", self.of_text(text)).tobytes()
-        return b"".join(map(self.pieces.__getitem__, PIECES(text.lower())))
+        if self.plain(text):
+            return b"".join(map(self.pieces.__getitem__, PIECES(text.lower())))
+        return array("I", self.of_text(text)).tobytes()
 
     def of_piece(self, piece: str) -> bytes:
         if not piece.isascii() or not piece.isprintable():
             piece = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
         return array("I", [token.id for token in self.model.tokenize(piece)]).tobytes()
 
-    def ids(self, text: bytes) -> bytes:
+    def ids(self, text: str) -> bytes:
         """The ids of a text as four-byte numbers."""
-        return b"".join(map(self.words.__getitem__, text.split()))
+        if self.plain(text):
+            return b"".join(map(self.pieces.__getitem__, PIECES(text.lower())))
+        return b"".join(map(self.words.__getitem__, text.encode().split()))
 
 
 @lru_cache(maxsize=1)  # per worker: the vocabulary of a job
@@ -326,7 +333,7 @@ def _write_range(spec, end_id, folder, file_ids):
             )
 
         for batch in text_chunks(batches):
-            for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+            for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 coded = coder.ids(text) + ending
                 if held and size + len(coded) // 4 > file_ids:
                     yield written()
