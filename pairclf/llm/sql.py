@@ -88,12 +88,16 @@ WITH v AS (
     FROM embeddings
     WHERE vec_id IS NOT NULL AND len(embedding) > 0
         AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
-), c AS (SELECT vec_id, unnest(e) AS x, unnest(range(len(e))) AS i FROM v),
+), q AS (
+    SELECT row_number() OVER () AS query_row, * FROM (SELECT DISTINCT vec_id AS query_id, e FROM v WHERE vec_id % 100 = 0)
+), c AS (SELECT row_number() OVER () AS candidate_row, * FROM v),
+qx AS (SELECT query_row, query_id, unnest(e) AS x, unnest(range(len(e))) AS i FROM q),
+cx AS (SELECT candidate_row, vec_id, unnest(e) AS x, unnest(range(len(e))) AS i FROM c),
 s AS (
-    SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
-    FROM c q JOIN c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY q.vec_id, c.vec_id
+    SELECT query_row, query_id, candidate_row, vec_id, sum(qx.x * cx.x)::BIGINT AS score
+    FROM qx JOIN cx ON qx.i = cx.i AND query_id <> vec_id GROUP BY query_row, query_id, candidate_row, vec_id
 )
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+SELECT query_id, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 10
 """
 

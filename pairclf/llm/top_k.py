@@ -6,8 +6,10 @@ tile, and top lists are merged in a tree until one list for each query is left.
 
 Components are floor(scale * x). Vectors that are null or empty, or hold null or
 non-finite components, take no part; vectors of unequal lengths raise an error. A
-candidate with the query's own id is not counted; repeated ids are repeated candidates.
-Ties go to the smaller id. With fewer than k candidates all are returned.
+candidate with the query's own id is not counted. Repeated rows are repeated candidates,
+each with a place of its own; repeated rows of a query are one query, while an id with
+different vectors has a list for each of them. Ties go to the smaller id. With fewer than
+k candidates all are returned.
 """
 
 from __future__ import annotations
@@ -108,7 +110,7 @@ def _best_of_tiles(row: dict, k: int) -> pa.RecordBatch:
     largest = float(np.abs(queries.astype(np.float64)).max()) * float(np.abs(numbers.astype(np.float64)).max()) * queries.shape[1]
     kind = np.float64 if largest < EXACT else np.int64
     columns = np.ascontiguousarray(numbers.T.astype(kind))
-    found_query, found_id, found_score = [], [], []
+    found_query, found_row, found_id, found_score = [], [], [], []
     step = max(1, CELLS // len(ids))
     for start in range(0, len(query_ids), step):
         scores = queries[start : start + step].astype(kind) @ columns
@@ -123,12 +125,13 @@ def _best_of_tiles(row: dict, k: int) -> pa.RecordBatch:
             # Ids ascend within a tile, so a stable order gives ties to the smaller.
             at = at[np.argsort(-scores[i][at], kind="stable")[:k]]
             found_query.append(np.full(len(at), query))
+            found_row.append(np.full(len(at), start + i))
             found_id.append(ids[at])
             found_score.append(scores[i][at].astype(np.int64))
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(x).astype(np.int64)) for x in (found_query, found_id, found_score)]
-        + [pa.array(np.full(sum(map(len, found_id)), row["candidate_tile"], dtype=np.int64))],
-        names=["query_id", "vec_id", "score", "list"],
+        [pa.array(np.concatenate(x).astype(np.int64)) for x in (found_query, found_row, found_id, found_score)]
+        + [pa.array(np.full(sum(map(len, found_id)), row[side], dtype=np.int64)) for side in ("query_number", "candidate_tile")],
+        names=["query_id", "place", "vec_id", "score", "tile", "list"],
     )
 
 
@@ -139,12 +142,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, identity: str = "ve
     written as tiles; a candidate tile is sent once for each query tile.
     """
     usable = integer_vectors(vectors, identity, vector, scale)
-    queries = integer_vectors(vectors.filter(is_query), identity, vector, scale)
+    queries = integer_vectors(vectors.filter(is_query), identity, vector, scale).distinct()
     # Few queries lie in many partitions: they are dealt anew to fill their tiles.
     query_tiles_count = max(1, math.ceil(queries.select("id").count() / QUERY_TILE))
     dealt = queries.repartitionById(query_tiles_count, F.pmod(F.xxhash64("id"), F.lit(query_tiles_count)).cast("int"))
     query_tiles = map_batches(dealt, _pack(QUERY_TILE), TILE).withColumn("query_tile", F.spark_partition_id())
-    query_tiles = write_table(query_tiles, "query-tiles")
+    query_tiles = write_table(query_tiles.withColumn("query_number", F.monotonically_increasing_id()), "query-tiles")
     tiles = map_batches(usable, _pack(CANDIDATE_TILE), TILE).withColumn("candidate_tile", F.monotonically_increasing_id())
     tiles = write_table(tiles, "candidate-tiles")
     count = tiles.count()
@@ -153,22 +156,23 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, identity: str = "ve
     spread = F.pmod(F.xxhash64("candidate_tile"), F.lit(salts))
     right = _named(tiles, "candidate").withColumn("salt", spread)
     right = right.withColumn("query_tile", F.explode(F.sequence(F.lit(0), F.lit(query_tiles_count - 1))))
-    left = _named(query_tiles, "query").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    left = _named(query_tiles, "query", "query_number").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
     lists = map_batches(
-        right.join(left, ["query_tile", "salt"]), _best(k), "query_id bigint, vec_id bigint, score bigint, list bigint"
+        right.join(left, ["query_tile", "salt"]), _best(k), "query_id bigint, place bigint, vec_id bigint, score bigint, tile bigint, list bigint"
     )
     # The tree: lists of FAN_IN tiles are merged until all tiles of a query are.
+    # A query row is told by its tile and its place in it, not by its id alone.
     numbered = lists.withColumn("list", F.xxhash64("list"))
     while True:
         last = count <= FAN_IN
         count = 1 if last else math.ceil(count / FAN_IN)
         numbered = numbered.withColumn("list", F.lit(0) if last else F.pmod("list", F.lit(count)))
-        best = Window.partitionBy("query_id", "list").orderBy(F.col("score").desc(), "vec_id")
+        best = Window.partitionBy("tile", "place", "list").orderBy(F.col("score").desc(), "vec_id")
         numbered = numbered.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
         if last:
             return numbered.select("query_id", "rank", "vec_id", "score")
         numbered = numbered.drop("rank")
 
 
-def _named(tiles: DataFrame, side: str) -> DataFrame:
-    return tiles.select(f"{side}_tile", F.col("ids").alias(f"{side}_ids"), F.col("numbers").alias(f"{side}_numbers"))
+def _named(tiles: DataFrame, side: str, *more: str) -> DataFrame:
+    return tiles.select(f"{side}_tile", *more, F.col("ids").alias(f"{side}_ids"), F.col("numbers").alias(f"{side}_numbers"))

@@ -277,6 +277,17 @@ def test_top_k_with_many_tiles_and_ties(spark, monkeypatch, tiles):
         assert got[q] == best
 
 
+def test_repeated_queries_and_candidates_lose_no_place(spark):
+    rows = [(0, [1.0, 0.0])] * 3 + [(0, [0.0, 1.0])] + [(i, [float(i), -float(i)]) for i in range(1, 15)] + [(14, [14.0, -14.0])] * 2
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    got = sorted((r["rank"], r["vec_id"], r["score"]) for r in tk.top_k(df, F.col("vec_id") == 0).collect())
+    step = 1024 * 1024
+    best = [14, 14, 14, 13, 12, 11, 10, 9, 8, 7]
+    least = [1, 2, 3, 4, 5, 6, 7, 8, 9, 10]
+    want = [(r, i, i * step) for r, i in enumerate(best, 1)] + [(r, i, -i * step) for r, i in enumerate(least, 1)]
+    assert got == sorted(want)
+
+
 def test_large_products_stay_exact(spark):
     df = spark.createDataFrame([(0, [3e9, 1.0]), (1, [1.0, 2.0]), (2, [1.0, 3.0])], "vec_id bigint, embedding array<double>")
     rows = tk.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()
