@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.fixed_values import ITERATIONS, REG_PARAMS, REST_LABEL, STEP_SIZES
 from ..functions.names import task_key
 
 TASK = ["kind", "class1", "class2", "train_fraction"]
+#: Blocks of classes; pairs are made in the cells of two blocks.
+PAIR_BLOCKS = 16
 
 
 @dataclass(frozen=True)
@@ -39,21 +41,17 @@ def class_list(features: DataFrame) -> DataFrame:
 def class_pairs(features: DataFrame) -> DataFrame:
     """Each unordered pair of classes once, ``class1 < class2``.
 
-    Classes are numbered; each one names the numbers of its later partners and an
-    equi-join turns those into names. Only the class catalogue goes through the
-    numbering window, never the rows.
+    Classes are dealt to ``PAIR_BLOCKS`` blocks by a hash. A class goes to the cells of its
+    block's row as ``class1`` and to those of its column as ``class2``, so that any two
+    classes meet in one cell: an equi-join on the cell, with no order over all classes and
+    no task that holds the catalogue whole.
     """
-    classes = features.select("label").distinct()
-    by_name = Window.orderBy("label")
-    numbered = classes.select(
-        "label",
-        F.row_number().over(by_name).alias("number"),
-        F.count(F.lit(1)).over(Window.partitionBy()).cast("int").alias("classes"),
-    )
-    later = F.when(F.col("number") < F.col("classes"), F.sequence(F.col("number") + 1, F.col("classes")))
-    first = numbered.select(F.col("label").alias("class1"), F.explode(later).alias("number"))
-    second = numbered.select(F.col("label").alias("class2"), "number")
-    return first.join(second, "number").select("class1", "class2")
+    block = F.pmod(F.xxhash64("label"), F.lit(PAIR_BLOCKS)).cast("int")
+    dealt = features.select("label").distinct().select("label", block.alias("own"))
+    others = F.explode(F.sequence(F.lit(0), F.lit(PAIR_BLOCKS - 1)))
+    first = dealt.select(F.col("label").alias("class1"), F.col("own").alias("row"), others.alias("column"))
+    second = dealt.select(F.col("label").alias("class2"), others.alias("row"), F.col("own").alias("column"))
+    return first.join(second, ["row", "column"]).filter("class1 < class2").select("class1", "class2")
 
 
 def rest_tasks(features: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.buckets import split_bucket
 from ..functions.fixed_values import BUCKETS, REST_LABEL
@@ -28,49 +28,55 @@ def bucket_counts(bucketed: DataFrame) -> DataFrame:
     return bucketed.groupBy("label", "bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
+def bucket_sums(counts: DataFrame) -> DataFrame:
+    """Per label, and for all labels as ``is_total``, the rows below every bucket:
+    ``below[cut]`` is the train size of a cut, and the last entry the number of rows.
+    At most 100 buckets go into one array."""
+    none, total = F.lit(None).cast("string"), F.lit(True)
+    keys = F.explode(F.array(
+        F.struct(F.col("label"), F.lit(False).alias("is_total")), F.struct(none.alias("label"), total.alias("is_total"))
+    ))
+    by_bucket = counts.select(keys.alias("_key"), "bucket", "n").groupBy("_key", "bucket").agg(F.sum("n").alias("n"))
+    filled = by_bucket.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "n"))).alias("_sizes"))
+    sums = F.aggregate(
+        F.sequence(F.lit(0), F.lit(BUCKETS - 1)),
+        F.array(F.lit(0).cast("bigint")),
+        lambda below, bucket: F.concat(
+            below, F.array(F.element_at(below, -1) + F.coalesce(F.element_at("_sizes", bucket), F.lit(0).cast("bigint")))
+        ),
+    )
+    return filled.select("_key.label", "_key.is_total", sums.alias("below"))
+
+
 def task_label_counts(counts: DataFrame, tasks: DataFrame) -> DataFrame:
     """Train and test rows per task and task label.
 
-    The label of a rest task is ``class1`` or ``All``; ``All`` counts as the
-    total less ``class1``, which needs no row of the other classes.
+    A cut is one look into the sums of a label. The label of a rest task is ``class1`` or
+    ``All``; ``All`` counts as the total less ``class1``, which needs no row of the other
+    classes.
     """
-    cuts = tasks.select("cut").distinct()
-    every_bucket = F.explode(F.sequence(F.lit(0), F.lit(BUCKETS - 1)))
-    sides = (
-        cuts.select("cut", every_bucket.alias("bucket"))
-        .withColumn("is_train", F.col("bucket") < F.col("cut"))
-        .join(counts, "bucket")
-        .groupBy("cut", "label")
-        .agg(
-            F.sum(F.when(F.col("is_train"), F.col("n")).otherwise(0)).alias("n_train"),
-            F.sum(F.when(F.col("is_train"), 0).otherwise(F.col("n"))).alias("n_test"),
-        )
+    sums = bucket_sums(counts)
+    is_rest = F.col("kind") == "1vsAll"
+    sides = tasks.withColumn("_side", F.explode(F.array(
+        F.struct(F.col("class1").alias("task_label"), F.lit(False).alias("is_total")),
+        F.struct(F.when(is_rest, F.lit(REST_LABEL)).otherwise(F.col("class2")).alias("task_label"), is_rest.alias("is_total")),
+    ))).select(*tasks.columns, "_side.*")
+    own = sums.select(F.when(~F.col("is_total"), F.col("label")).alias("_label"), F.col("is_total"), "below")
+    named = sides.withColumn("_label", F.when(~F.col("is_total"), F.col("task_label")))
+    counted = named.join(own, named["_label"].eqNullSafe(own["_label"]) & (named["is_total"] == own["is_total"])).select(
+        *[named[c] for c in [*tasks.columns, "task_label", "is_total"]], "below"
     )
-    totals = sides.groupBy("cut").agg(F.sum("n_train").alias("all_train"), F.sum("n_test").alias("all_test"))
-    named = sides.withColumnRenamed("label", "task_label")
+    # What a total leaves out: the sums of its class.
+    less = sums.filter(~F.col("is_total")).select(F.col("label").alias("_less"), F.col("below").alias("_less_below"))
+    counted = counted.withColumn("_less", F.when(F.col("is_total"), F.col("class1"))).join(less, "_less", "left")
 
-    pairs = tasks.filter(F.col("kind") == "1vs1")
-    in_pairs = pairs.withColumn("task_label", F.explode(F.array("class1", "class2"))).join(
-        named, ["cut", "task_label"]
-    )
-    rest = (
-        tasks.filter(F.col("kind") == "1vsAll")
-        .join(named.withColumnRenamed("task_label", "class1"), ["cut", "class1"])
-        .join(totals, "cut")
+    def size(place: Column) -> Column:
+        return F.element_at("below", place) - F.coalesce(F.element_at("_less_below", place), F.lit(0))
+
+    train = size(F.col("cut") + 1)
+    return counted.select(
+        *tasks.columns, "task_label", train.alias("n_train"), (size(F.lit(-1)) - train).alias("n_test")
     )
-    in_rest = rest.select(
-        *tasks.columns,
-        F.explode(F.array(
-            F.struct(F.col("class1").alias("task_label"), "n_train", "n_test"),
-            F.struct(
-                F.lit(REST_LABEL).alias("task_label"),
-                (F.col("all_train") - F.col("n_train")).alias("n_train"),
-                (F.col("all_test") - F.col("n_test")).alias("n_test"),
-            ),
-        )).alias("_side"),
-    ).select(*tasks.columns, "_side.*")
-    columns = [*tasks.columns, "task_label", "n_train", "n_test"]
-    return in_pairs.select(columns).unionByName(in_rest.select(columns))
 
 
 def split_counts(label_counts: DataFrame) -> DataFrame:

@@ -231,7 +231,7 @@ def ova_relabel(spark, sf_dir):
 def _label_counts(spark, sf_dir):
     # The rows are read once; tasks and sizes come from the small count table.
     counts = write_table(bucket_counts(with_bucket(main_source(spark, sf_dir))), "bucket-counts")
-    return task_label_counts(counts, write_table(_all_tasks(counts), "tasks"))
+    return task_label_counts(counts, _all_tasks(counts))
 
 
 def split_counts_query(spark, sf_dir):

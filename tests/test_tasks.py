@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +115,36 @@ def test_numbering_over_many_partitions_and_keys(spark):
     assert got == expected
 
 
+def test_numbering_with_hot_null_and_nan_keys(spark):
+    nan = float("nan")
+    rows = [("hot", 1.0, i) for i in range(900)] + [(None, 1.0, i) for i in range(40)] + [("x", nan, i) for i in range(30)]
+    rows += [("x", 2.0, 7), ("y", None, 1), ("y", None, 2)]
+    random.Random(4).shuffle(rows)
+    frame = spark.createDataFrame(rows, "k string, f double, id int").repartition(9)
+    numbered = number_in_order(frame, ["k", "f"], [F.col("id").desc()])
+    got = sorted(map(repr, (tuple(r) for r in numbered.collect())))
+    groups = {}
+    for k, f, i in rows:
+        groups.setdefault((k, repr(f)), []).append((k, f, i))
+    want = [(*row, n) for g in groups.values() for n, row in enumerate(sorted(g, key=lambda r: -r[2]))]
+    assert got == sorted(map(repr, want))
+    # Rows are not joined on their key; one row per partition is broadcast.
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "_part" in plan[plan.index("Join"):].splitlines()[0]
+
+
+def test_pairs_put_no_catalogue_into_one_task(points):
+    plan = class_pairs(points)._jdf.queryExecution().toString()
+    assert "SinglePartition" not in plan and "Window" not in plan
+
+
+def test_many_classes_pair_once(spark):
+    names = [f"class {i}" for i in range(60)]
+    frame = spark.createDataFrame([(n,) for n in names] + [(None,)], "label string")
+    pairs = [tuple(r) for r in class_pairs(frame).collect()]
+    assert len(pairs) == len(set(pairs)) == 60 * 59 // 2 and all(a < b for a, b in pairs)
+
+
 def test_image_index(points):
     tasks = task_table(points, [50])
     rows = pair_image_index(points, tasks).filter("class1 = 'a' and class2 = 'b'").orderBy("images_index").collect()

@@ -40,6 +40,29 @@ def test_runs_across_ranges(spark):
         assert got == runs_of(pairs)
 
 
+def test_rows_of_runs_are_shuffled_once(spark, monkeypatch):
+    from pairclf.operators import words
+
+    plans = []
+    real = words.write_table
+    monkeypatch.setattr(words, "write_table", lambda df, name: plans.append(df._jdf.queryExecution().toString()) or real(df, name))
+    pairs = [(random.choice("ab"), 1) for _ in range(3000)]
+    result = word_run_totals(lines(spark, pairs).repartition(5), "position")
+    assert sorted(tuple(r)[:3] for r in result.collect()) == runs_of(pairs)
+    physical = [plan.split("== Physical Plan ==")[1] for plan in plans]
+    assert len(physical) == 1 and physical[0].count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in physical[0]
+    # Runs inside a range are final: only marked rows are grouped again.
+    last = result._jdf.queryExecution().optimizedPlan().toString()
+    assert last.count("Aggregate [run") == 1 and "border" in last
+
+
+def test_null_words_and_counts_and_equal_positions(spark):
+    rows = [(1, None, 2), (2, None, None), (3, "a", None), (4, "a", 1), (4, "b", 1), (4, "a", 5), (5, "b", 2)]
+    frame = spark.createDataFrame(rows, "position long, word string, count long")
+    got = [tuple(r)[:3] for r in word_run_totals(frame, "position").orderBy("run").collect()]
+    assert got == [(1, None, 2), (2, "a", 6), (3, "b", 3)]
+
+
 def test_no_lines(spark):
     assert word_run_totals(lines(spark, [("a", 1)]).filter("word = 'b'"), "position").collect() == []
 
