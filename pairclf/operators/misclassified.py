@@ -40,6 +40,8 @@ def with_vector_key(features: DataFrame, hash_of: Callable[[str], Column] = F.xx
     hashed = features.withColumn("_hash", hash_of("features").cast("bigint"))
     counts = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
     repeated = write_table(counts.filter(F.col("_n") > 1).select("_hash"), "repeated-hashes")
+    if repeated.isEmpty():
+        return hashed.withColumn("_other", F.lit(0))
     different = hashed.join(repeated, "_hash", "left_semi").select("_hash", "features").distinct()
     # A window holds the different vectors of one hash, one as a rule.
     of_hash = Window.partitionBy("_hash").orderBy("features")
@@ -49,38 +51,67 @@ def with_vector_key(features: DataFrame, hash_of: Callable[[str], Column] = F.xx
 
 
 def misclassified_by_vector(
-    features: DataFrame, models: DataFrame, hash_of: Callable[[str], Column] = F.xxhash64
+    features: DataFrame, models: DataFrame, hash_of: Callable[[str], Column] = F.xxhash64, listed: int | None = None
 ) -> DataFrame:
-    """Test images whose vector equals that of a misclassified row of the model.
+    """Test images whose vector equals that of a misclassified row of the model, or the
+    first ``listed`` of them by name.
 
     ``times_listed`` says how often the plain chain of joins (errors to test rows
     on the vector, then to test rows on the image) would repeat the image: rows of
     the image, times its rows with the vector, times misclassified rows with the
-    vector. It comes from counts, so copies of a vector are never paired.
+    vector. It comes from counts, so copies of a vector are never paired, and only for
+    the images that are listed.
     """
     vector = ["_hash", "_other"]
     rows = with_vector_key(features, hash_of)
-    wrong = (
-        predict(rows, models, carry=vector, errors_only=True)
-        .groupBy(*MODEL, *vector)
-        .agg(F.count(F.lit(1)).alias("_wrong"))
+    wrong = write_table(
+        predict(rows, models, carry=vector, errors_only=True).groupBy(*MODEL, *vector).agg(F.count(F.lit(1)).alias("_wrong")),
+        "wrong-vectors",
     )
     copies = with_bucket(rows.select("label", "images", *vector)).groupBy("label", "bucket", "images", *vector).agg(
         F.count(F.lit(1)).alias("_copies")
     )
+    names = _images_with_vector(wrong, copies, vector, listed)
+    if listed is not None:
+        names = write_table(first_images(names, ("model_number",), listed).withColumnRenamed(LISTED_COLUMN, "images"), "listed")
     in_task = (F.col("kind") == "1vsAll") | F.col("label").isin(F.col("class1"), F.col("class2"))
-    in_test = F.col("bucket") >= F.round(F.col("train_fraction") * 100).cast("int")
-    touched = wrong.join(copies, vector).filter(in_task & in_test)
-    # Rows of the image on the test side of the task, over all of its vectors. The
-    # label filter matters only for a name that carries several labels.
-    of_image = copies.groupBy("images", "label").agg(F.sum("_copies").alias("_rows"))
-    tests = (
-        touched.select(*MODEL, "images").distinct()
-        .join(of_image, "images").filter(in_task)
-        .groupBy(*MODEL, "images").agg(F.sum("_rows").alias("_image_rows"))
-    )
+    # All rows of the listed names, each once; a name has one bucket, so all are test rows.
+    own = copies.join(names.select("images").distinct(), "images", "left_semi").drop("bucket")
+    counted = names.join(own, "images").filter(in_task).join(wrong, [*MODEL, *vector], "left")
     return (
-        touched.groupBy(*MODEL, "images").agg(F.sum(F.col("_copies") * F.col("_wrong")).alias("_pairs"))
-        .join(tests, [*MODEL, "images"])
-        .select(*MODEL, "images", (F.col("_image_rows") * F.col("_pairs")).alias("times_listed"))
+        counted.groupBy(*MODEL, "images")
+        .agg(F.sum("_copies").alias("_rows"), F.sum(F.col("_copies") * F.col("_wrong")).alias("_pairs"))
+        .select(*MODEL, "images", (F.col("_rows") * F.col("_pairs")).alias("times_listed"))
     )
+
+
+def _images_with_vector(wrong: DataFrame, copies: DataFrame, vector: list[str], listed: int | None) -> DataFrame:
+    """(model, images): test images that have a vector which the model got wrong; with
+    ``listed``, at least the first so many of each model.
+
+    The first names are cut per vector, share and label before models see them, so that a
+    vector with any number of images meets each of its models with ``listed`` of them.
+    Tasks against the rest look at the images of all labels, a null label here.
+    """
+    cut = F.round(F.col("train_fraction") * 100).cast("int").alias("_cut")
+    is_rest = F.col("kind") == "1vsAll"
+    labels = F.when(is_rest, F.array(F.lit(None).cast("string"))).otherwise(F.array("class1", "class2"))
+    asked = wrong.select(*MODEL, *vector, cut, F.explode(labels).alias("_label"))
+    with_any = copies.select(*vector, "bucket", "images", F.explode(F.array("label", F.lit(None).cast("string"))).alias("_label"))
+    key = [*vector, "_cut"]
+    needed = asked.select(*key, "_label").distinct()
+    found = needed.alias("n").join(
+        with_any.alias("c"),
+        (F.col("n._hash") == F.col("c._hash")) & (F.col("n._other") == F.col("c._other"))
+        & F.col("n._label").eqNullSafe(F.col("c._label")) & (F.col("c.bucket") >= F.col("n._cut")),
+    ).select(*[F.col(f"n.{k}").alias(k) for k in [*key, "_label"]], "images")
+    if listed is not None:
+        # A name may have several labels: names are ranked, not rows.
+        by_name = Window.partitionBy(*key, "_label").orderBy("images")
+        found = found.withColumn("_rank", F.dense_rank().over(by_name)).filter(F.col("_rank") <= listed).drop("_rank")
+    found = found.distinct()
+    return asked.alias("a").join(
+        found.alias("f"),
+        (F.col("a._hash") == F.col("f._hash")) & (F.col("a._other") == F.col("f._other")) & (F.col("a._cut") == F.col("f._cut"))
+        & F.col("a._label").eqNullSafe(F.col("f._label")),
+    ).select(*[F.col(f"a.{m}").alias(m) for m in MODEL], F.col("f.images").alias("images")).distinct()

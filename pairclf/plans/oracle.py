@@ -285,4 +285,3 @@ FROM runs GROUP BY run, event_type""",
 }
 ORACLE["best_models_object"] = ORACLE["best_models_json"]
 ORACLE["word_totals_stream"] = ORACLE["word_totals"]
-ORACLE["svm_weights_by_passes"] = ORACLE["svm_weights"]

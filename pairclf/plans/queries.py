@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.fixed_values import (
+    LISTED_COLUMN,
+    LISTED_IMAGES,
     PAIR_TRAIN_PERCENT,
     REST_TRAIN_PERCENT,
     SECOND_SOURCE_TRAIN_PERCENT,
@@ -32,7 +34,7 @@ from ..operators.classes import (
 )
 from ..operators.images import pair_image_index, rest_image_index
 from ..operators.indexing import apply_index, string_index
-from ..operators.misclassified import first_images, misclassified, misclassified_by_vector
+from ..operators.misclassified import LISTED_BY, first_images, misclassified, misclassified_by_vector
 from ..operators.scoring import predict, prediction_metrics, right, second_source_rows
 from ..operators.selection import (
     best_model_reports,
@@ -384,8 +386,8 @@ def misclassified_all(spark, sf_dir):
 
 
 def misclassified_by_vector_query(spark, sf_dir):
-    listed = misclassified_by_vector(main_source(spark, sf_dir), tournament(spark, sf_dir).models)
-    return first_images(listed, ("times_listed",))
+    listed = misclassified_by_vector(main_source(spark, sf_dir), tournament(spark, sf_dir).models, listed=LISTED_IMAGES)
+    return listed.select(*LISTED_BY, F.col("images").alias(LISTED_COLUMN), "times_listed")
 
 
 # ---------------------------------------------------------------- words
@@ -428,7 +430,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "image_index_rest": image_index_rest,
     "index_sample": index_sample,
     "svm_weights": svm_weights,
-    "svm_weights_by_passes": svm_weights,
     "predictions_ovo": predictions_ovo,
     "predictions_ova": predictions_ova,
     "hits_ovo": hits_ovo,

@@ -126,3 +126,41 @@ def test_first_thirty_by_name(spark):
     names = sorted(r["images non reconnus"] for r in first_images(errors).collect())
     assert names == [f"a_{i:03d}" for first in (0, 100) for i in range(first, first + 30)]
     assert "WindowGroupLimit" in first_images(errors)._jdf.queryExecution().toString()
+
+
+def test_a_vector_with_many_images_is_cut_before_models_see_it(spark, monkeypatch):
+    from pairclf.operators import misclassified as mc
+
+    # One vector in 100 000 rows of two labels, wrong for at least one of them, and few others.
+    label = F.when(F.col("id") % 3 == 0, "a").otherwise("b")
+    hot = spark.range(100_000).select(label.alias("label"), F.array(F.lit(1.0), F.lit(0.5)).alias("features"),
+                                      F.concat(label, F.lit("_"), F.col("id").cast("string"), F.lit(".jpg.json")).alias("images"))
+    rest = [(c, [s * (i % 7), s * 2.0], f"{c}_x{i}.jpg.json") for c, s in (("a", 1.0), ("b", -1.0), ("c", -2.0)) for i in range(40)]
+    features = hot.unionByName(feature_rows(spark, rest)).repartition(6)
+    run = run_tournament(features, rest_percents=[80], grid=Grid([2]))
+    sizes = []
+    real = mc._images_with_vector
+
+    def watched(*arguments):
+        names = real(*arguments)
+        sizes.append(names.count())
+        return names
+
+    monkeypatch.setattr(mc, "_images_with_vector", watched)
+    cut = misclassified_by_vector(features, run.models, listed=30)
+    got = sorted(tuple(r) for r in cut.select("kind", "class1", "class2", "images", "times_listed").collect())
+    whole = misclassified_by_vector(features, run.models).withColumnRenamed("times_listed", "times")
+    first = first_images(whole, ("times",)).select("kind", "class1", "class2", "images non reconnus", "times")
+    assert got == sorted(tuple(r) for r in first.collect()) and len(got) >= 60
+    models, vectors = run.models.count(), 1 + 7 * 3
+    assert sizes[0] <= 30 * 2 * models * vectors < sizes[1]
+
+
+def test_listed_names_may_have_several_labels_and_vectors(spark):
+    rows = [(c, [float(i % 4) - 1.5, 1.0], f"n_{i % 30}.jpg.json") for i in range(240) for c in ("a", "b")]
+    features = feature_rows(spark, rows).repartition(4)
+    run = run_tournament(features, rest_percents=[50], grid=Grid([3]))
+    cut = misclassified_by_vector(features, run.models, weak_hash, listed=4).collect()
+    whole = misclassified_by_vector(features, run.models).withColumnRenamed("times_listed", "times")
+    first = first_images(whole, ("times",), 4).select("kind", "class1", "class2", "images non reconnus", "times").collect()
+    assert cut and sorted((r["kind"], r["class1"], r["class2"], r["images"], r["times_listed"]) for r in cut) == sorted(map(tuple, first))
