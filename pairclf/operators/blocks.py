@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,6 +14,10 @@ BLOCK_SCHEMA = "label string, min_bucket int, buckets binary, vectors binary"
 BLOCK_BYTES = 2 * 1024 * 1024
 # Rows of labels whose blocks are not full yet, over all labels of a task.
 HELD_BYTES = 64 * 1024 * 1024
+# Least bytes of vectors in a partition of a pass, and how many times as many as the sums
+# that every partition makes.
+PART_BYTES = 128 * 1024 * 1024
+BYTES_PER_SUM = 16
 
 
 def vector_size(features: DataFrame) -> int:
@@ -40,6 +46,15 @@ def matrix_of_batch():
     return matrix
 
 
+def in_larger_parts(features: DataFrame, vector_bytes: int, sum_bytes: int) -> DataFrame:
+    """The rows in fewer partitions, where there are so many that the partial sums of all
+    partitions would weigh much against the vectors. Nothing is shuffled, and enough
+    partitions for all cores stay."""
+    cores = features.sparkSession.sparkContext.defaultParallelism
+    wanted = max(cores, math.ceil(vector_bytes / max(PART_BYTES, BYTES_PER_SUM * sum_bytes)))
+    return features.coalesce(wanted) if features.rdd.getNumPartitions() > wanted else features
+
+
 def pack_blocks(features: DataFrame, size: int, split_at: int = BUCKETS) -> DataFrame:
     """Blocks of one label each, its rows in bucket order.
 

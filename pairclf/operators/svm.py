@@ -35,6 +35,9 @@ MODEL_SCHEMA = (
 CHUNK_BYTES = 64 * 1024 * 1024
 # Bound of the weights that a task holds ready by label.
 READY_BYTES = 128 * 1024 * 1024
+# Partial sums of all partitions that are added in the driver; more of them are added in
+# tasks of about as many bytes. Both add in the order of the partitions.
+GATHERED_BYTES = 64 * 1024 * 1024
 
 
 def train(
@@ -49,10 +52,11 @@ def train(
 
     ``tasks`` is :func:`splits.trainable_tasks`; ``blocks`` is
     :func:`blocks.pack_blocks`. Rows stay where they are: an iteration is one job, in
-    which the weights of a chunk of runs go to the rows, every partition makes one
-    partial sum for each run, and a shuffle on the run adds them in the order of the
-    partitions, so that reruns agree. Tasks are chunked in tiles of classes, and a
-    pass reads the blocks of the classes that its live runs name.
+    which the weights of a chunk of runs go to the rows and every partition makes one
+    partial sum for each run. Partial sums are added in the order of the partitions, so
+    that reruns agree: in the driver where all of them fit into ``GATHERED_BYTES``, else
+    by a shuffle on the run. Tasks are chunked in tiles of classes, and a pass reads the
+    blocks of the classes that its live runs name.
     """
     spark = blocks.sparkSession
     path = new_table_path(spark, "models")
@@ -62,10 +66,11 @@ def train(
     per_run = 8 * size * (len(grid.iterations) + 3)
     in_chunk = max(1, chunk_bytes // (per_run * len(parameters)))
     remaining = _in_tiles(tasks, in_chunk).toLocalIterator()
+    parts = blocks.rdd.getNumPartitions()
     next_id = 0
     while chunk := list(islice(remaining, in_chunk)):
         runs = [(task.asDict(), step, reg) for task in chunk for step, reg in parameters]
-        for limit, weights, iterations_run in _passes(blocks, runs, size, grid, tolerance):
+        for limit, weights, iterations_run in _passes(blocks, parts, runs, size, grid, tolerance):
             table = model_table(runs, grid.numbers(), limit, weights, iterations_run)
             ids = pa.array(range(next_id, next_id + table.num_rows), pa.int64())
             next_id += table.num_rows
@@ -89,7 +94,9 @@ def named_labels(tasks: list) -> list[str] | None:
     return sorted({task[side] for task in tasks for side in ("class1", "class2")})
 
 
-def _passes(blocks: DataFrame, runs: list, size: int, grid: Grid, tolerance: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _passes(
+    blocks: DataFrame, parts: int, runs: list, size: int, grid: Grid, tolerance: float
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Yield (iteration limit, weights, iterations run) for every limit of the grid."""
     kernels = _kernels()
     context = blocks.sparkSession.sparkContext
@@ -104,14 +111,19 @@ def _passes(blocks: DataFrame, runs: list, size: int, grid: Grid, tolerance: flo
         shared = context.broadcast((weights, live))
         try:
             partials = rows.mapInArrow(_partial_sums(membership, shared), "run int, part int, sums binary")
-            in_order = partials.repartition("run").sortWithinPartitions("run", "part")
-            added = in_order.mapInArrow(_sum_adder(), "run int, sums binary").toArrow()
+            partial_bytes = parts * len(alive) * 8 * size
+            if partial_bytes <= GATHERED_BYTES:
+                added = partials.toArrow().sort_by([("run", "ascending"), ("part", "ascending")])
+            else:
+                adders = min(len(alive), math.ceil(partial_bytes / GATHERED_BYTES))
+                in_order = partials.repartition(adders, "run").sortWithinPartitions("run", "part")
+                added = in_order.mapInArrow(_sum_adder(), "run int, sums binary").toArrow()
         finally:
             shared.destroy()
         total = np.zeros_like(weights)
         for batch in added.to_batches():
-            for run, sums in zip(batch.column(0).to_pylist(), batch.column(1)):
-                total[run] = np.frombuffer(sums.as_buffer())
+            for run, sums in zip(batch.column("run").to_pylist(), batch.column("sums")):
+                total[run] += np.frombuffer(sums.as_buffer())
         return total
 
     try:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.fixed_values import (
     PAIR_TRAIN_PERCENT,
@@ -13,7 +13,7 @@ from ..functions.fixed_values import (
     SECOND_SOURCE_TRAIN_PERCENT,
     SWEEP_TRAIN_PERCENTS,
 )
-from ..operators.blocks import pack_blocks, vector_size
+from ..operators.blocks import in_larger_parts, pack_blocks, vector_size
 from ..operators.classes import Grid, task_table
 from ..operators.scoring import METRICS, evaluate, second_source_rows
 from ..operators.splits import (
@@ -24,7 +24,7 @@ from ..operators.splits import (
     untrainable_tasks,
     with_bucket,
 )
-from ..operators.svm import train
+from ..operators.svm import CHUNK_BYTES, train
 from ..session import write_table
 
 
@@ -69,8 +69,11 @@ def run_tournament(
     label_counts = write_table(task_label_counts(counts, tasks), "label-counts")
     largest_cut = max([*pair_percents, *rest_percents, 0])
     size = vector_size(features)
-    blocks = pack_blocks(bucketed, size, largest_cut)
-    models = train(blocks, trainable_tasks(label_index(label_counts)), size, grid)
+    trainable = trainable_tasks(label_index(label_counts))
+    rows, runs = counts.agg(F.sum("n")).first()[0], tasks.count() * len(grid.parameters())
+    parts = in_larger_parts(bucketed, 8 * size * rows, min(CHUNK_BYTES, 8 * size * runs))
+    blocks = pack_blocks(parts, size, largest_cut)
+    models = train(blocks, trainable, size, grid)
     blocks.unpersist()
 
     def score() -> DataFrame:

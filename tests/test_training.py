@@ -73,6 +73,27 @@ def test_reruns_give_the_same_bits(trained):
     assert first.keys() == second.keys() and all((first[k] == second[k]).all() for k in first)
 
 
+def test_sums_in_the_driver_and_in_tasks_are_the_same_bits(trained, monkeypatch):
+    blocks = pack_blocks(trained["points"].repartition(6), 5, 80)
+    tasks = trained["tasks"].filter("train_fraction = 0.5")
+    gathered = weights_of(train(blocks, tasks, 5, Grid([4, 15])))
+    for most in (1, 1500):
+        monkeypatch.setattr(svm, "GATHERED_BYTES", most)
+        shuffled = weights_of(train(blocks, tasks, 5, Grid([4, 15])))
+        assert gathered.keys() == shuffled.keys() and all((gathered[k] == shuffled[k]).all() for k in gathered)
+
+
+def test_many_small_partitions_make_few_sums(spark, monkeypatch):
+    from pairclf.operators import blocks
+
+    rows = spark.range(0, 1000, 1, 200)
+    assert blocks.in_larger_parts(rows, 1000, 10).rdd.getNumPartitions() == 8
+    monkeypatch.setattr(blocks, "PART_BYTES", 10)
+    assert blocks.in_larger_parts(rows, 1000, 0).rdd.getNumPartitions() == 100
+    assert blocks.in_larger_parts(rows, 1000, 1).rdd.getNumPartitions() == 63
+    assert blocks.in_larger_parts(rows, 10_000, 1).rdd.getNumPartitions() == 200
+
+
 def test_blocks_part_at_the_largest_cut_and_by_label(trained):
     for block in trained["blocks"].collect():
         buckets = np.frombuffer(block["buckets"], dtype="u1")
