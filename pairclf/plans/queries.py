@@ -104,8 +104,12 @@ def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
     files = _table(spark, sf_dir, "embeddings").select(
         "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
     )
-    listed = files.groupBy(*files.columns).count().orderBy(*files.columns)
-    digest = listed.agg(F.md5(F.concat_ws(",", F.array_sort(F.collect_list(F.concat_ws(":", *files.columns)))))).first()[0]
+    # Sums that do not hang on an order, so that no row or task holds all files.
+    file = F.xxhash64(*files.columns)
+    sums = files.distinct().agg(
+        F.count(F.lit(1)), F.sum(F.shiftright(file, 20)), F.bit_xor(file), F.sum("file_size"), F.max("file_modification_time")
+    )
+    digest = tuple(sums.first())
     return spark.sparkContext.applicationId, sf_dir, name, digest
 
 

@@ -25,21 +25,23 @@ def scan_feature_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _hidden_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(images, value)`` of the files that Spark's own readers leave out by name."""
-    open_path = _file_system()
+    """``(images, value)`` of the files that Spark's own readers leave out by name. A task
+    reads the hidden files of its own slice of the listing."""
+    entries, open_path = _entries(), _file_system()
 
     def read(batches):
         import pyarrow as pa
 
         files, root = open_path(path)
-        for batch in batches:
-            for name in batch.column("images").to_pylist():
+        for names, sizes in entries(path, batches, hidden_only=True):
+            for name, size in zip(names, sizes):
+                if not size:
+                    continue
                 with files.open_input_stream(f"{root}/{name}") as file:
                     text = file.read().decode("utf-8", "replace")
                 yield pa.RecordBatch.from_pydict({"images": pa.array([name]), "value": pa.array([text], pa.string())})
 
-    hidden = list_files(spark, path).filter((F.col("size") > 0) & F.substring("images", 1, 1).isin("_", "."))
-    return hidden.repartition(spark.sparkContext.defaultParallelism).mapInArrow(read, "images string, value string")
+    return _slices(spark).mapInArrow(read, "images string, value string")
 
 
 def parse_feature_records(records: DataFrame, strict: bool = False) -> DataFrame:
@@ -61,28 +63,71 @@ def parse_feature_records(records: DataFrame, strict: bool = False) -> DataFrame
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(images, size)`` of all files of the directory, hidden ones too.
+    """``(images, size)`` of all files of the directory, hidden ones too, without reading
+    one. Every task lists its own slice of the names."""
+    entries = _entries()
+
+    def listed(batches):
+        import pyarrow as pa
+
+        for names, sizes in entries(path, batches):
+            yield pa.RecordBatch.from_pydict({"images": pa.array(names, pa.string()), "size": pa.array(sizes, pa.int64())})
+
+    return _slices(spark).mapInArrow(listed, "images string, size bigint")
+
+
+def _slices(spark: SparkSession) -> DataFrame:
+    """One row and one task per slice of a listing: its number and how many there are."""
+    slices = max(1, spark.sparkContext.defaultParallelism)
+    return spark.range(0, slices, 1, slices).select("id", F.lit(slices).alias("slices"))
 
-    One task lists names and sizes, without reading a file, and hands them on in slices.
+
+def _entries():
+    """The function (path, batches of slices) -> lists of names and sizes of the files in
+    the slices. Made here so that it travels with the functions that run in the tasks.
+
+    Names are dealt to slices by a hash. On a mounted file system they are streamed, and
+    only files of the slice are looked at, so a task holds a thousand names whatever the
+    size of the directory. Other file systems hand out a listing at once.
     """
     open_path = _file_system()
 
-    def listed(batches):
-        import pyarrow as pa
+    def names_of(path):
+        """Pairs of a name and the function that gives its size, or None for no file."""
+        import os
+
         from pyarrow import fs
 
-        for _ in batches:
-            pass
         files, root = open_path(path)
-        entries = files.get_file_info(fs.FileSelector(root))
-        for start in range(0, len(entries), 10_000):
-            found = [e for e in entries[start:start + 10_000] if e.type == fs.FileType.File]
-            yield pa.RecordBatch.from_pydict({
-                "images": pa.array([e.base_name for e in found], pa.string()),
-                "size": pa.array([e.size for e in found], pa.int64()),
-            })
-
-    return spark.range(0, 1, 1, 1).mapInArrow(listed, "images string, size bigint")
+        if isinstance(files, fs.LocalFileSystem):
+            with os.scandir(root) as found:
+                for entry in found:
+                    yield entry.name, lambda entry=entry: entry.stat().st_size if entry.is_file() else None
+        else:
+            for info in files.get_file_info(fs.FileSelector(root)):
+                yield info.base_name, lambda info=info: info.size if info.type == fs.FileType.File else None
+
+    def entries(path, batches, hidden_only=False):
+        from zlib import crc32
+
+        for batch in batches:
+            for own, slices in zip(batch.column("id").to_pylist(), batch.column("slices").to_pylist()):
+                names, sizes = [], []
+                for name, size_of in names_of(path):
+                    if crc32(name.encode("utf-8", "surrogateescape")) % slices != own or (hidden_only and name[:1] not in ("_", ".")):
+                        continue
+                    size = size_of()
+                    if size is None:
+                        continue
+                    names.append(name)
+                    sizes.append(size)
+                    if len(names) == 1000:
+                        yield names, sizes
+                        names, sizes = [], []
+                if names:
+                    yield names, sizes
+
+    return entries
 
 
 def empty_files(spark: SparkSession, path: str) -> DataFrame:

@@ -116,3 +116,29 @@ def test_names_of_every_kind_come_back_as_they_are(spark, tmp_path):
     rows = {r["images"]: r["label"] for r in read_feature_files(spark, str(tmp_path)).collect()}
     assert rows == dict(zip(names, ["x", ".y", "great dane", "a%b", "a+b", "é"]))
     assert [r["images"] for r in read_rejects(spark, str(tmp_path)).collect()] == ["_empty_1.jpg.json"]
+
+
+def test_listing_of_many_names_is_dealt_and_streamed(spark, tmp_path):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from pairclf.sources import feature_files as ff
+
+    for number in range(50_000):
+        (tmp_path / f"{'_' if number % 1000 == 0 else ''}some_longer_class_name_{number}.jpg.json").touch()
+    (tmp_path / "_full_7.jpg.json").write_text("[1.0,2.0]")
+    (tmp_path / "folder").mkdir()
+    listed = ff.list_files(spark, str(tmp_path))
+    assert listed.count() == listed.distinct().count() == 50_001
+    assert listed.rdd.getNumPartitions() == 8
+    assert ff.empty_files(spark, str(tmp_path)).count() == 50_000
+    assert [tuple(r) for r in ff._hidden_files(spark, str(tmp_path)).collect()] == [("_full_7.jpg.json", "[1.0,2.0]")]
+    # What one task holds does not grow with the directory.
+    slices = [pa.RecordBatch.from_pydict({"id": [0], "slices": [8]})]
+    entries = ff._entries()
+    tracemalloc.start()
+    sizes = [len(names) for names, _ in entries(str(tmp_path), slices)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 5000 < sum(sizes) < 7500 and max(sizes) == 1000 and peak < 1_000_000
