@@ -157,6 +157,94 @@ def test_passages_of_many_lines_go_from_unlike_hosts_only(spark):
         assert cut[i] == "\n".join(lines[3:])
 
 
+def test_passages_go_from_pages_that_consist_of_them(spark):
+    passage = [" ".join(letters(9, 8000 + k)) for k in range(30)]
+    own = {i: [" ".join(letters(9, 8100 + 20 * i + k)) for k in range(10)] for i in range(10)}
+    rows = [(i, "\n".join([*o[:5], *passage, *o[5:]])) for i, o in own.items()]
+    cut = {r["doc_id"]: r["text"] for r in drop_recurring_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert cut[0] == rows[0][1] and all(cut[i] == "\n".join(own[i]) for i in range(1, 10))
+
+
+def test_many_near_copies_lose_nothing(spark):
+    rng = random.Random(9)
+    base = [letters(12, 9000 + k) for k in range(30)]
+    rows = []
+    for i in range(200):
+        text = [list(line) for line in base]
+        for line in rng.sample(text, 24):  # a word changed in four of five lines
+            line[rng.randrange(12)] = f"edited{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]}{'ab'[i // 100]}"
+        rows.append((i, "\n".join(map(" ".join, text))))
+    cut = {r["doc_id"]: r["text"] for r in drop_recurring_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert cut == dict(rows)
+
+
+def test_short_lines_go_where_many_texts_hold_them(spark):
+    rows = [(i, f"{' '.join(letters(9, 9100 + i))}\nall rights reserved\nEnd\n{' '.join(letters(9, 9200 + i))}") for i in range(20)]
+    rows += [(30 + i, f"{' '.join(letters(9, 9300 + i))}\nseen by few\n{' '.join(letters(9, 9400 + i))}") for i in range(9)]
+    cut = {r["doc_id"]: r["text"] for r in drop_recurring_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(("reserved" in cut[i]) == (i == 0) and "\nEnd\n" in cut[i] for i in range(20))
+    assert all("seen by few" in cut[30 + i] for i in range(9))
+
+
+def plain_recurring(texts):
+    """content -> dropped places, by the module's rule for whole lines that are not generalised."""
+    lines = {i: [(at, tuple(x.split())) for at, x in enumerate(t.split("\n")) if x.strip()] for i, t in texts.items()}
+
+    def own(a, b):
+        theirs = {x for _, x in lines[b]}
+        rest = [x for _, x in lines[b] if x not in {y for _, y in lines[a]}]
+        def parts(x):
+            return {("head", x[:3]), ("tail", x[-3:]), ("body", x[3:-3] if len(x) > 6 else x)}
+
+        known = {p for x in rest for p in parts(x)}
+        return sum(len(x) for _, x in lines[a] if x not in theirs and not parts(x) & known)
+
+    hosts = defaultdict(set)
+    for i, rows in lines.items():
+        for _, x in rows:
+            if len(x) > 1:
+                hosts[x].add(i)
+    dropped = defaultdict(set)
+    for x, ids in hosts.items():
+        if len(ids) < (10 if len(x) < 4 else 2):
+            continue
+        first = min(ids)
+        for i in ids - {first}:
+            a, b = own(i, first), own(first, i)
+            sizes = [sum(len(y) for _, y in lines[k]) for k in (i, first)]
+            if sum(sizes) - a - b < 0.5 * sum(sizes) or (a >= 0.2 * sizes[0] and b >= 0.2 * sizes[1]):
+                break
+        else:
+            continue
+        stays = min(at for at, y in lines[first] if y == x)
+        for i in ids:
+            dropped[i] |= {at for at, y in lines[i] if y == x and (i, at) != (first, stays)}
+    return {i: "\n".join(y for at, y in enumerate(t.split("\n")) if at not in dropped[i]) for i, t in texts.items()}
+
+
+def test_texts_are_compared_as_by_a_plain_version(spark, monkeypatch):
+    from pairclf.llm import line_templates as lt
+
+    monkeypatch.setattr(lt, "LOG_TOKENS", 0)  # whole lines only
+    rng = random.Random(11)
+    pool = [letters(rng.randrange(2, 9), 9500 + k) for k in range(60)]
+    texts = {}
+    for i in range(150):
+        if i % 3 == 2:  # a near copy of an earlier text
+            text = [list(line) for line in texts[rng.randrange(i)]]
+            for line in rng.sample(text, len(text) // 2):
+                line[rng.randrange(len(line))] = f"other{'abcdefghij'[i % 10]}{'abcdefghijklmno'[i // 10]}"
+        else:
+            text = [list(line) for line in rng.sample(pool, rng.randrange(1, 6))]
+            text += [letters(rng.randrange(2, 9), 20_000 + 10 * i + k) for k in range(rng.randrange(4))]
+        texts[i] = text
+    whole = {i: "\n".join(map(" ".join, t)) for i, t in texts.items()}
+    whole = {i: t for i, t in whole.items() if list(whole.values()).index(t) == i}  # copies are one text
+    df = spark.createDataFrame(list(whole.items()), "doc_id bigint, text string").repartition(5)
+    cut = {r["doc_id"]: r["text"] for r in drop_recurring_lines(df).collect()}
+    assert cut == plain_recurring(whole) and sum(cut[i] != whole[i] for i in whole) > 20
+
+
 def test_a_leaf_holds_several_templates_among_prose(spark):
     kinds = ["was moved from {} to the main store", "has left for {} and will return soon", "could not find {} in any open list"]
     names = ["ann", "bob", "cid"]
