@@ -133,7 +133,8 @@ def mix(
             *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)],
             F.array_sort(F.array_distinct(members)).alias("members"),
             F.regexp_count(whole_text(text), F.lit(WORD)).cast("bigint").alias("size"),
-            seeded_hash(F.coalesce(F.col(identity).cast("string"), F.lit("")), seed).alias("hash"),
+            # With the text, so that rows without an id, or of one id, are spread.
+            seeded_hash(F.concat_ws(":", F.coalesce(F.col(identity).cast("string"), F.lit("")), F.md5(whole_text(text).cast("binary"))), seed).alias("hash"),
         ),
         "mix-sizes",
     )

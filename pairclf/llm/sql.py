@@ -104,7 +104,7 @@ FROM s QUALIFY rank <= 10
 OP10_MIXING = f"""
 WITH d AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_quoted(WORD)})) AS size,
-        ('0x' || md5('17:' || coalesce(doc_id::VARCHAR, ''))[1:15])::BIGINT AS hash
+        ('0x' || md5('17:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')))[1:15])::BIGINT AS hash
     FROM documents
 ), s AS (
     SELECT source, sum(size)::BIGINT AS source_size,
