@@ -41,6 +41,8 @@ LATIN_SPACES = "\\x09-\\x0d\\x20\\x85\\xa0"
 
 #: Pieces that a worker remembers; it forgets all of them when there are more.
 CACHED_PIECES = 250_000
+#: Pairs of tokens that a worker remembers, about 130 bytes each.
+CACHED_PAIRS = 300_000
 #: Longer pieces are encoded anew each time.
 CACHED_BYTES = 64
 
@@ -97,13 +99,14 @@ class Vocabulary:
         self.lengths = np.array([len(b) for b in self.token_bytes], dtype=np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)])[:-1]
         self.blob = np.frombuffer(b"".join(self.token_bytes), dtype=np.uint8)
-        self._compatible: dict[tuple[int, int], bool] = {}
+        self._compatible: dict[int, bool] = {}
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether ``left`` and ``right`` can stand side by side in an encoding: on
         undoing both tokens' merges, latest first, no pair across the border has a
         merge that would have come before the merges still standing."""
-        known = self._compatible.get((left, right))
+        pair = left << 32 | right
+        known = self._compatible.get(pair)
         if known is not None:
             return known
         a, b, merged, rank = left, right, self.merged, self.rank
@@ -122,9 +125,9 @@ class Vocabulary:
             else:
                 # A pair across the border comes before an equal merge to its right.
                 limit, b = rank_b + 1, self.parts[b][0]
-        if len(self._compatible) >= 2_000_000:
+        if len(self._compatible) >= CACHED_PAIRS:
             self._compatible.clear()
-        self._compatible[left, right] = fits
+        self._compatible[pair] = fits
         return fits
 
     def encode_piece(self, raw: bytes) -> list[int]:

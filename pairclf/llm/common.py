@@ -57,7 +57,15 @@ def ship_package(spark: SparkSession) -> None:
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Run ``work`` over the Arrow batches of every partition, where they lie."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(work, schema)
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            # Workers outlive their tasks; what Arrow holds back goes to the system.
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(released, schema)
 
 
 def text_chunks(batches: Iterable[pa.RecordBatch], column: str = "text", chars: int = CHUNK_CHARS) -> Iterator[pa.RecordBatch]:

@@ -24,9 +24,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import crc_bucket, map_batches, text_chunks, whole_text
+from .common import crc_bucket, map_batches, ship_package, text_chunks, whole_text
 
 #: Labelled rows of the fit at most.
 SAMPLE = 20_000
@@ -300,8 +300,8 @@ def fit(sample: DataFrame) -> Model:
     counts = {row["term"]: [row["clean"], row["toxic"]] for row in strong.collect()}
     lexicon = learn_lexicon(counts, [clean, toxic])
     rows = map_batches(sample.select("text", "toxic"), _featured(lexicon.terms), "features array<double>, toxic int")
-    # SAMPLE rows of FEATURES numbers at most.
-    collected = rows.toPandas()
+    # SAMPLE rows of FEATURES numbers at most, by their hash where an id has many rows.
+    collected = rows.orderBy(F.xxhash64("features"), "toxic").limit(SAMPLE).toPandas()
     return Model(lexicon.terms, logistic(np.array(collected["features"].tolist()), collected["toxic"].to_numpy(float)))
 
 
@@ -362,3 +362,23 @@ def score(documents: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",
 
     scored = map_batches(rows, work, f"{kept}, score double, abuse bigint, quotation bigint")
     return scored.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "score", "abuse", "quotation")
+
+
+def score_column(spark: SparkSession, model: Model, text: str = "text") -> Column:
+    """The score of each text as a column: texts go to Python, scores come back, and the
+    other columns of a row stay where they are."""
+    ship_package(spark)
+    terms, weights = model.terms, np.array(model.weights)
+
+    @F.arrow_udf("double")
+    def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        lexicon = Lexicon(terms)
+        for batch in texts:
+            parts = []
+            for piece in text_chunks([pa.RecordBatch.from_arrays([batch], names=["text"])]):
+                x = np.array([features(lexicon, t) for t in piece.column("text").to_pylist()])
+                parts.append(pa.array(1 / (1 + np.exp(-np.clip(x @ weights, -30, 30))), pa.float64()))
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.float64())
+        pa.default_memory_pool().release_unused()
+
+    return scores(whole_text(text))
