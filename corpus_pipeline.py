@@ -17,7 +17,7 @@ from pairclf.llm.line_templates import drop_recurring_lines
 from pairclf.llm.mixing import mix
 from pairclf.llm.near_duplicates import near_duplicate_classes
 from pairclf.llm.queries import VOCABULARY
-from pairclf.llm.toxicity import fit, labelled_sample, score
+from pairclf.llm.toxicity import fit, labelled_sample, score_column
 from pairclf.session import write_table
 
 #: Documents that score as much are rejected.
@@ -25,33 +25,46 @@ TOXIC = 0.3
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that do not score as toxic, by a fit on the labels of documents."""
+    """Documents that do not score as toxic, by a fit on the labels of documents. A null
+    text counts as empty; equal texts have equal scores."""
     model = fit(labelled_sample(docs, table(spark, sf_dir, "labels")))
-    return score(docs, model, tuple(docs.columns)).filter(F.col("score") < TOXIC).select(*docs.columns)
+    return docs.filter(score_column(spark, model) < TOXIC)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without recurring lines; those of which nothing is left go."""
+    """Documents without recurring lines; those of which nothing is left go. Null and empty
+    texts stay as they are."""
     cut = drop_recurring_lines(docs, dropped="_lines_dropped")
     cut = cut.filter((F.col("_lines_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    cut = cut.withColumn("n_chars", F.when(F.col("_lines_dropped") > 0, F.char_length("text")).otherwise(F.col("n_chars")))
+    if "n_chars" in docs.columns:
+        length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        cut = cut.withColumn("n_chars", F.when(F.col("_lines_dropped") > 0, length).otherwise(F.col("n_chars")))
     return cut.select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: that of the least id. Repeated
-    rows of it count as one; documents without an id stay."""
+    """One document of each class of near duplicates: that of the least id. Of several rows
+    with that id the least stays, by text and then by the other columns of documents;
+    documents without an id stay."""
     classes = near_duplicate_classes(docs)
     kept = write_table(classes.filter("doc_id = class_id").select("doc_id").distinct(), "kept-documents")
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    named = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    # Ids are counted without their texts; only rows of repeated ids are grouped.
+    repeated = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select("doc_id")
+    repeated = write_table(repeated, "repeated-ids")
+    out = named.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+    if not repeated.isEmpty():
+        order = F.struct(*[c for c in ("text", "lang", "source", "n_chars") if c in docs.columns])
+        least = named.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("_row"))
+        out = out.unionByName(least.select("_row.*"))
+    return out.unionByName(docs.filter("doc_id IS NULL"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, whole."""
-    columns = [F.col(c).alias(f"_{c}") for c in docs.columns]
-    rows = docs.select(*columns)
-    mixed = mix(rows, F.array("_source"), (3, 1, 2), 150, 2, identity="_doc_id", text="_text", keep=tuple(rows.columns[1:]))
+    rows = docs.select(*[F.col(c).alias(f"_{c}") for c in docs.columns])
+    others = tuple(c for c in rows.columns if c != "_doc_id")
+    mixed = mix(rows, F.array("_source"), (3, 1, 2), 150, 2, identity="_doc_id", text="_text", keep=others)
     taken = mixed.filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     return taken.select(*[F.col(f"_{c}").alias(c) for c in docs.columns])
 
