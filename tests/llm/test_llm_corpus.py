@@ -192,11 +192,11 @@ def plain_recurring(texts):
 
     def own(a, b):
         theirs = {x for _, x in lines[b]}
-        rest = [x for _, x in lines[b] if x not in {y for _, y in lines[a]}]
+
         def parts(x):
             return {("head", x[:3]), ("tail", x[-3:]), ("body", x[3:-3] if len(x) > 6 else x)}
 
-        known = {p for x in rest for p in parts(x)}
+        known = {p for x in theirs for p in parts(x)}
         return sum(len(x) for _, x in lines[a] if x not in theirs and not parts(x) & known)
 
     hosts = defaultdict(set)
