@@ -250,8 +250,44 @@ def _link_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_duplicate_classes(documents: DataFrame, identity: str = "doc_id", text: str = "text") -> DataFrame:
-    """identity and class_id (the least id of the class), for each row of ``documents``."""
+    """identity and class_id (the least id of the class), for each row of ``documents``.
+
+    An id with several texts is one document: the classes of its texts are one class.
+    """
     rows = documents.select(F.col(identity).cast("bigint").alias("node"), whole_text(text).alias("text"))
+    repeated = rows.filter("node IS NOT NULL").groupBy("node").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    repeated = write_table(repeated.select("node"), "near-repeated-ids")
+    classes = _classes(rows) if repeated.isEmpty() else _classes_of_ids(rows, repeated)
+    return classes.select(F.col("node").alias(identity), F.col("class").alias("class_id"))
+
+
+def _classes_of_ids(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """node, class: the texts of repeated ids are nodes of their own, with numbers beyond
+    all ids; classes that share an id are then linked."""
+    most = rows.agg(F.max("node")).first()[0]
+    of_repeated = rows.join(repeated, "node", "left_semi")
+    own = of_repeated.distinct().withColumn("own", F.lit(most) + 1 + F.monotonically_increasing_id())
+    own = write_table(own, "near-own-nodes")
+    single = rows.join(repeated, "node", "left_anti").select("node", "text")
+    classes = write_table(_classes(single.unionByName(own.select(F.col("own").alias("node"), "text"))), "near-text-classes")
+    members = own.select("node", "own").join(classes.select(F.col("node").alias("own"), "class"), "own").select("node", "class")
+    members = write_table(members.distinct(), "near-id-classes")
+    first = members.groupBy("node").agg(F.min("class").alias("a"))
+    links = members.join(first, "node").filter("class <> a").select("a", F.col("class").alias("b")).distinct()
+    labels = components(write_table(links, "near-id-links")).select(F.col("node").alias("class"), "label")
+    grouped = members.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    # A label beyond all ids names a class of repeated ids alone.
+    least = grouped.groupBy("label").agg(F.min("node").alias("least"))
+    grouped = write_table(grouped.join(least, "label").withColumn("least", F.least("least", "label")), "near-id-labels")
+    of_class = grouped.select("class", "least").distinct()
+    kept = classes.filter(F.col("node").isNull() | (F.col("node") <= most)).join(of_class, "class", "left")
+    kept = kept.select("node", F.coalesce("least", "class").alias("class"))
+    of_id = grouped.groupBy("node").agg(F.min("least").alias("class"))
+    return kept.unionByName(of_repeated.select("node").join(of_id, "node").select("node", "class"))
+
+
+def _classes(rows: DataFrame) -> DataFrame:
+    """node, class of rows (node, text); a node that is not null has one text."""
     schema = "node bigint, content binary, bands array<bigint>, signature binary, shingles bigint"
     signed = write_table(map_batches(rows, _sign, schema), "near-signatures")
     known = signed.filter("node IS NOT NULL AND content IS NOT NULL")
@@ -304,9 +340,8 @@ def near_duplicate_classes(documents: DataFrame, identity: str = "doc_id", text:
     named = copies.join(labels, copies["first"] == labels["node"], "left").select("content", F.coalesce("label", "first").alias("class"))
     named = write_table(named, "near-classes")
     found = known.select("node", "content").join(named, "content").select("node", "class")
-    # An id with several texts is one document: its texts are linked.
     alone = signed.filter("node IS NULL OR content IS NULL").select("node", F.col("node").alias("class"))
-    return found.union(alone).select(F.col("node").alias(identity), F.col("class").alias("class_id"))
+    return found.union(alone)
 
 
 def _texts(rows: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -104,6 +104,18 @@ def test_registers_agree_with_the_probability_of_the_similarity():
     assert abs(nd.probability_jaccard(*bags) - plain_similarity(a + " " + a[:400], b)) < 1e-9
 
 
+def test_an_id_with_several_texts_links_their_classes(spark):
+    base = {c: " ".join(words(60, seed)) for c, seed in (("a", 1), ("b", 2), ("c", 3), ("d", 4), ("e", 5))}
+    near = {c: text + " and one more" for c, text in base.items()}
+    rows = [(1, base["a"]), (1, base["b"]), (2, near["b"]), (3, near["a"]), (4, base["c"]), (5, near["c"])]
+    rows += [(9, base["d"]), (9, base["d"]), (7, base["e"]), (9, base["e"]), (8, ""), (8, base["c"]), (None, base["a"]), (None, base["a"])]
+    got = nd.near_duplicate_classes(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert sorted(((r["doc_id"], r["class_id"]) for r in got if r["doc_id"] is not None)) == [
+        (1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (7, 7), (8, 4), (8, 4), (9, 7), (9, 7), (9, 7)
+    ]
+    assert sum(r["doc_id"] is None for r in got) == 2
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
