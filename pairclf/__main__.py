@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 
 from .plans.programs import classify, total_words
-from .session import build_session
+from .session import build_session, drop_tables
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -18,6 +18,7 @@ def main(arguments: list[str] | None = None) -> None:
         command.add_argument("--out", default="output")
         command.add_argument("--strict", action="store_true", help="raise on empty feature files")
         command.add_argument("--seed", default="", help="another seed is another split")
+        command.add_argument("--drop-tables", action="store_true", help="delete intermediate tables at the end")
     words = commands.add_parser("words", help="total 'word count' lines")
     words.add_argument("path")
     words.add_argument("--out", default="output/words")
@@ -30,6 +31,8 @@ def main(arguments: list[str] | None = None) -> None:
             spark, options.features_dir, options.features_dir_all, options.out,
             sweep=options.command == "sweep", strict=options.strict, seed=options.seed,
         )
+        if options.drop_tables:
+            drop_tables(spark)
 
 
 if __name__ == "__main__":

@@ -37,7 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _local_dirs:
         _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="pairclf-")
@@ -47,9 +47,24 @@ def shared_dir(spark: SparkSession) -> str:
 _local_dirs: dict[str, str] = {}
 
 
+def tables_dir(spark: SparkSession) -> str:
+    """The folder of the tables that this application writes on its way."""
+    return f"{shared_dir(spark)}/pairclf/{spark.sparkContext.applicationId}"
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; paths are never reused."""
-    return f"{shared_dir(spark)}/pairclf/{name}-{uuid.uuid4().hex}"
+    return f"{tables_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_tables(spark: SparkSession) -> bool:
+    """Delete all tables that this application has written on its way, and nothing else.
+
+    For the end of a program: results that were not written elsewhere, and tables such as
+    trained models, are gone with them. Returns whether there was anything to delete.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(tables_dir(spark))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:

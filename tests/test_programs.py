@@ -7,6 +7,7 @@ import pytest
 from pairclf.__main__ import main
 from pairclf.operators.classes import Grid
 from pairclf.plans.programs import classify
+from pairclf import session
 from pairclf.session import shared_dir
 
 
@@ -57,3 +58,17 @@ def test_shared_folder_comes_from_the_session():
     assert shared_dir(local) == shared_dir(local)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(FakeSession("yarn", None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(FakeSession("local-cluster[2,1,1024]", None))
+
+
+def test_written_tables_can_be_dropped(spark, tmp_path, monkeypatch):
+    assert session.new_table_path(spark, "t").startswith(session.tables_dir(spark) + "/t-")
+    # Another folder, as other tests still read the tables of this application.
+    monkeypatch.setattr(session, "tables_dir", lambda spark: f"file://{tmp_path}/tables")
+    other = tmp_path / "other"
+    other.mkdir()
+    session.write_table(spark.range(5), "five")
+    assert len(glob.glob(f"{tmp_path}/tables/five-*")) == 1
+    assert session.drop_tables(spark) and not (tmp_path / "tables").exists() and other.exists()
+    assert not session.drop_tables(spark)

@@ -28,3 +28,10 @@ def test_every_query_has_sql():
 def test_entry_gives_the_best_model_of_every_pair(spark):
     best = entry.entry(spark).collect()
     assert len(best) == 45 and all(row["numIter"] in (10, 50, 100, 300) for row in best)
+
+
+def test_the_rest_works_where_the_corpus_operators_cannot_be_imported(monkeypatch):
+    import sys
+
+    monkeypatch.setitem(sys.modules, "pairclf.llm.queries", None)
+    assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(ORACLE)
