@@ -103,3 +103,32 @@ def test_columns_keep_their_types(spark, odd_dir):
     assert kinds["op7_toxicity"]["held_out"] == "boolean" and kinds["op7_toxicity"]["predicted"] == "int"
     held = QUERIES["op7_toxicity"](spark, odd_dir).filter(F.col("doc_id") == 6).first()
     assert 0 <= held["score"] <= 1
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, odd_dir, empty_dir):
+    import corpus_pipeline
+
+    rows = corpus_pipeline.run(spark, odd_dir).collect()
+    assert {r["doc_id"] for r in rows} <= {1, 2, 3, 4, 5, 6, 7, 8, None} and all(r["round_trip"] for r in rows)
+    assert {2, 3} & {r["doc_id"] for r in rows} == set()  # without words they are never taken by the mix
+    assert corpus_pipeline.run(spark, empty_dir).collect() == []
+
+
+def test_pipeline_stages_with_clashing_names_and_another_order_of_columns(spark, odd_dir):
+    import corpus_pipeline
+
+    docs = odd_documents(spark).withColumn("score", F.lit(0.5)).withColumn("taken", F.lit("x")).withColumn("_row", F.lit(1))
+    docs = docs.select("text", "score", "taken", "_row", *[c for c in docs.columns if c not in ("text", "score", "taken", "_row")])
+    docs = docs.union(docs.filter("doc_id = 7").withColumn("text", F.lit("an earlier text of the same id")))
+    # With two labels the fit may reject all; the other stages get the whole table.
+    scored = corpus_pipeline.toxicity(spark, docs, odd_dir)
+    assert scored.columns == docs.columns and scored.count() <= docs.count()
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        columns = docs.columns
+        docs = stage(spark, docs, odd_dir).cache()
+        assert docs.columns == columns, name
+        if name == "near duplicates":
+            assert [r["text"] for r in docs.filter("doc_id = 7").collect()] == ["an earlier text of the same id"]
+            assert docs.filter("doc_id = 8").isEmpty()  # a copy of 1 but for its capitals
+            assert docs.filter("doc_id IS NULL").count() == 1
+    assert corpus_pipeline.encoding(spark, docs, odd_dir).filter("NOT round_trip").count() == 0
