@@ -9,11 +9,18 @@ A null text is empty, a null role is ``user``; turns are in the order of their n
 nulls last, then of role and text. Repeated rows are repeated turns. Where one side
 ends inside the other it has no segments; equal sides have none both. A conversation
 without turns is not there. Conversations without an id make no pair.
+
+Pairs for tables that hold none (``with_foreign_replies``): every conversation with a
+reply is chosen over itself with one of its replies, and all after it, replaced by the
+end of the next such conversation by id. The last one is followed by the first; a single
+one by itself, so that both sides are equal.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..session import write_table
 
 # The marks of the rendered form.
 OPEN, CLOSE, END = "<|", "|>\n", "<|end|>\n"
@@ -75,20 +82,41 @@ def format_preferences(pairs: DataFrame, keep: tuple[str, ...] = ("id",)) -> Dat
     )
 
 
-def with_foreign_replies(chats: DataFrame, partner: Column) -> DataFrame:
-    """id, chosen, rejected: every conversation beside itself with its last assistant
-    turn replaced by the last assistant turn of its partner, and ended there.
-
-    ``partner`` maps an id to the partner's id and back. Conversations without an
-    assistant turn, or whose partner is missing or has none, make no pair.
+def with_next(ids: DataFrame) -> DataFrame:
+    """id, next: each of the distinct ids with the one that follows, the last with the
+    first. Ids are cut into ranges, and only the least id of each range is looked at
+    across them."""
+    placed = ids.repartitionByRange("id").withColumn("part", F.spark_partition_id())
+    placed = write_table(placed, "ids-in-ranges")
+    # One row for each range, so one task holds as many rows as there are ranges.
+    heads = placed.groupBy("part").agg(F.min("id").alias("head"))
+    in_order = Window.orderBy("part")
+    first = F.min("head").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    heads = heads.select("part", F.coalesce(F.lead("head").over(in_order), first).alias("after"))
+    inside = F.lead("id").over(Window.partitionBy("part").orderBy("id"))
+    followed = placed.select("id", "part", inside.alias("next"))
+    # Broadcast for the same reason.
+    return followed.join(F.broadcast(heads), "part").select("id", F.coalesce("next", "after").alias("next"))
+
+
+def with_foreign_replies(chats: DataFrame, following: DataFrame, which: Column) -> DataFrame:
+    """id, chosen, rejected: every conversation with an assistant turn, whole, beside its
+    turns before one of its assistant turns, continued by the last assistant turn of the
+    conversation that follows it and all turns after that.
+
+    ``following`` has id and next for all of these conversations. ``which`` is an integer
+    that tells which assistant turn is replaced, counted from 0, modulo their number.
     """
     places = F.filter(
         F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i + 1).otherwise(0)), lambda i: i > 0
     )
-    replied = chats.withColumn("reply_at", F.array_max(places)).filter("reply_at IS NOT NULL")
-    replies = replied.select(partner.alias("id"), F.element_at("turns", F.col("reply_at")).alias("reply"))
-    return replied.join(replies, "id").select(
+    replied = chats.withColumn("places", places).filter(F.size("places") > 0)
+    end = F.slice("turns", F.element_at("places", -1), F.size("turns"))
+    ends = replied.select(F.col("id").alias("next"), end.alias("end"))
+    ends = following.join(ends, "next").select("id", "end")
+    parts_at = F.element_at("places", (F.pmod(which, F.size("places")) + 1).cast("int"))
+    return replied.withColumn("parts_at", parts_at).join(ends, "id").select(
         "id",
-        F.slice("turns", 1, F.col("reply_at")).alias("chosen"),
-        F.concat(F.slice("turns", 1, F.col("reply_at") - 1), F.array("reply")).alias("rejected"),
+        F.col("turns").alias("chosen"),
+        F.concat(F.slice("turns", 1, F.col("parts_at") - 1), "end").alias("rejected"),
     )

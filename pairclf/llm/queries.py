@@ -15,7 +15,7 @@ from .lattice_lm import score_texts
 from .line_templates import drop_recurring_lines
 from .mixing import mix
 from .near_duplicates import near_duplicate_classes
-from .preferences import conversations, format_preferences, with_foreign_replies
+from .preferences import conversations, format_preferences, with_foreign_replies, with_next
 from .prefix_hashes import edited_fingerprints
 from .secrets import KINDS, find_secrets
 from .token_files import read_token_files, write_token_files
@@ -29,9 +29,9 @@ WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chats = conversations(table(spark, sf_dir, "conversations"))
-    # The neighbour by number: 2k and 2k + 1 are each other's partners.
-    pairs = with_foreign_replies(chats, F.col("id").bitwiseXOR(F.lit(1)))
+    turns = table(spark, sf_dir, "conversations")
+    replied = turns.filter("role = 'assistant' AND conv_id IS NOT NULL").select(F.col("conv_id").alias("id")).distinct()
+    pairs = with_foreign_replies(conversations(turns), with_next(replied), F.col("id"))
     formatted = format_preferences(pairs)
 
     def joined(side: str):

@@ -61,25 +61,42 @@ WITH t AS (
     SELECT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
 ), n AS (
     SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS place FROM t
-), r AS (
-    SELECT conv_id, max(place) AS reply_at FROM n WHERE role = 'assistant' GROUP BY conv_id
-), reply AS (
-    SELECT n.conv_id, n.text FROM n JOIN r ON n.conv_id = r.conv_id AND n.place = r.reply_at
+), sizes AS (
+    SELECT conv_id, max(place) AS size, max(place) FILTER (role = 'assistant') AS reply_at,
+        count(*) FILTER (role = 'assistant') AS replies
+    FROM n GROUP BY conv_id HAVING count(*) FILTER (role = 'assistant') > 0
+), ring AS (
+    SELECT *, coalesce(lead(conv_id) OVER (ORDER BY conv_id), min(conv_id) OVER ()) AS next FROM sizes
+), numbered AS (
+    SELECT conv_id, place, row_number() OVER (PARTITION BY conv_id ORDER BY place) - 1 AS number FROM n WHERE role = 'assistant'
 ), pairs AS (
-    SELECT r.conv_id, r.reply_at, own.text AS own, other.text AS other
-    FROM r JOIN reply own USING (conv_id) JOIN reply other ON other.conv_id = xor(r.conv_id, 1)
-), common AS (
-    SELECT *, CASE WHEN own = other THEN reply_at ELSE reply_at - 1 END AS prefix_turns FROM pairs
-), prompts AS (
-    SELECT c.conv_id, string_agg('<|' || n.role || '|>' || chr(10) || n.text || '<|end|>' || chr(10), '' ORDER BY n.place) AS prompt
-    FROM common c JOIN n ON n.conv_id = c.conv_id AND n.place <= c.prefix_turns GROUP BY c.conv_id
+    SELECT r.conv_id, r.size, r.next, numbered.place AS parts_at, other.reply_at AS reply_at
+    FROM ring r JOIN sizes other ON other.conv_id = r.next
+    JOIN numbered ON numbered.conv_id = r.conv_id AND number = (r.conv_id % r.replies + r.replies) % r.replies
+), sides AS (
+    SELECT 'chosen' AS side, conv_id, place, role, text FROM pairs JOIN n USING (conv_id)
+    UNION ALL
+    SELECT 'rejected', conv_id, place, role, text FROM pairs JOIN n USING (conv_id) WHERE place < parts_at
+    UNION ALL
+    SELECT 'rejected', p.conv_id, n.place - reply_at + parts_at, role, text FROM pairs p JOIN n ON n.conv_id = p.next AND n.place >= reply_at
+), differing AS (
+    SELECT conv_id, min(place) - 1 AS prefix_turns FROM (
+        SELECT conv_id, place FROM sides GROUP BY conv_id, place HAVING count(*) = 1 OR min(role) <> max(role) OR min(text) <> max(text)
+    ) GROUP BY conv_id
+), counted AS (
+    SELECT conv_id, coalesce(prefix_turns, size) AS prefix_turns FROM pairs LEFT JOIN differing USING (conv_id)
+), marked AS (
+    SELECT *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS shown,
+        CASE WHEN role = 'assistant' THEN '01' ELSE '00' END AS mask
+    FROM sides JOIN counted USING (conv_id)
 )
-SELECT conv_id, prefix_turns::INTEGER AS prefix_turns, coalesce(prompt, '') AS prompt,
-    CASE WHEN own = other THEN '' ELSE '<|assistant|>' || chr(10) || own || '<|end|>' || chr(10) END AS chosen,
-    CASE WHEN own = other THEN '' ELSE '01' END AS chosen_mask,
-    CASE WHEN own = other THEN '' ELSE '<|assistant|>' || chr(10) || other || '<|end|>' || chr(10) END AS rejected,
-    CASE WHEN own = other THEN '' ELSE '01' END AS rejected_mask
-FROM common LEFT JOIN prompts USING (conv_id)
+SELECT conv_id, any_value(prefix_turns)::INTEGER AS prefix_turns,
+    coalesce(string_agg(shown, '' ORDER BY place) FILTER (side = 'chosen' AND place <= prefix_turns), '') AS prompt,
+    coalesce(string_agg(shown, '' ORDER BY place) FILTER (side = 'chosen' AND place > prefix_turns), '') AS chosen,
+    coalesce(string_agg(mask, '' ORDER BY place) FILTER (side = 'chosen' AND place > prefix_turns), '') AS chosen_mask,
+    coalesce(string_agg(shown, '' ORDER BY place) FILTER (side = 'rejected' AND place > prefix_turns), '') AS rejected,
+    coalesce(string_agg(mask, '' ORDER BY place) FILTER (side = 'rejected' AND place > prefix_turns), '') AS rejected_mask
+FROM marked GROUP BY conv_id
 """
 
 OP6_TOP_K = """

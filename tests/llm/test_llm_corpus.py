@@ -13,7 +13,7 @@ from pairclf.llm import top_k as tk
 from pairclf.llm.components import components
 from pairclf.llm.line_templates import drop_recurring_lines
 from pairclf.llm.mixing import mix, route, source_targets
-from pairclf.llm.preferences import format_preferences
+from pairclf.llm.preferences import conversations, format_preferences, with_foreign_replies, with_next
 from pairclf.llm.toxicity import Lexicon, edits_allowed, features
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -360,6 +360,26 @@ def test_preferences_share_the_longest_prefix(spark):
     assert got[2]["chosen"] == [] and [s["train"] for s in got[2]["rejected"]] == [False, False]
 
 
+@pytest.mark.parametrize("ids", [[], [4], range(-6, 40, 2), range(25)])
+def test_every_conversation_with_a_reply_makes_a_pair(spark, ids):
+    rng = random.Random(5)
+    chats = {i: [(rng.choice(["user", "assistant", None]), rng.choice(["a", "b", None])) for _ in range(rng.randrange(1, 8))] for i in ids}
+    chats |= {4: [("user", "q"), ("assistant", "a"), ("user", "end")]} if 4 in chats else {}
+    rows = [(i, at, *turn) for i, turns in chats.items() for at, turn in enumerate(turns)] + [(None, 0, "assistant", "none")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string").repartition(5)
+    replied = df.filter("role = 'assistant' AND conv_id IS NOT NULL").selectExpr("conv_id AS id").distinct()
+    pairs = with_foreign_replies(conversations(df), with_next(replied), F.col("id"))
+    got = {r["id"]: [[tuple(t) for t in r[side]] for side in ("chosen", "rejected")] for r in pairs.collect()}
+    plain = {i: [(role or "user", text or "") for role, text in turns] for i, turns in chats.items()}
+    places = {i: [at for at, (role, _) in enumerate(plain[i]) if role == "assistant"] for i in sorted(plain)}
+    order = [i for i in places if places[i]]
+    expected = {}
+    for i, following in zip(order, order[1:] + order[:1]):
+        parts_at = places[i][i % len(places[i])]
+        expected[i] = [plain[i], plain[i][:parts_at] + plain[following][places[following][-1] :]]
+    assert got == expected and len(got) == len(order)
+
+
 @pytest.mark.parametrize("tiles", [(3, 5), (2048, 8192)])
 def test_top_k_with_many_tiles_and_ties(spark, monkeypatch, tiles):
     monkeypatch.setattr(tk, "QUERY_TILE", tiles[0])
