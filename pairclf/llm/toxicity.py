@@ -3,15 +3,19 @@
 The lexicon is learnt from labelled training texts: words, and stems that many words
 begin with, that are far more frequent in toxic texts. Its terms form a trie. The
 words of every text are matched by walking the trie together with the states of a
-Levenshtein automaton, so misspelled terms are found with their distance; a stem may
-be followed by anything. Every hit has a window of words: hits inside quotation marks
-or beside words that report speech count as quotation, all others as abuse. A
-logistic regression over counts and log-odds of both kinds gives the score.
+Levenshtein automaton, so misspelled terms are found with their distance: a letter
+more, less or another, or two neighbours in the wrong order. A stem may be followed by
+anything, if its last letter is in place; longer stems are also found misspelled in
+that way, shorter ones where they are the whole word. Every hit has a window of words:
+hits inside quotation marks or beside words that report speech count as quotation, all
+others as abuse. A logistic regression over counts and log-odds of both kinds gives the
+score.
 
 Null and empty texts have no hits and get the score of that case. Repeated rows give
-repeated rows; of repeated labels each counts. Without labelled rows, or with one
-label only, the lexicon is empty and all scores are the (smoothed) share of label 1.
-The fit uses up to ``SAMPLE`` labelled training rows, those with the least hashes.
+repeated rows; in the fit, equal texts of an id count once for each of its labels.
+Without labelled rows, or with one label only, the lexicon is empty and all scores are
+the (smoothed) share of label 1. The fit uses up to ``SAMPLE`` labelled training texts,
+those with the least hashes of their ids.
 """
 
 from __future__ import annotations
@@ -62,7 +66,8 @@ class Lexicon:
 
     A state is a set of (trie node, edits so far); the states that words lead to are
     made once and kept with their transitions, so a word costs a step for each letter
-    and ends as soon as no term is in reach.
+    and ends as soon as no term is in reach. ``~node`` in a state stands for a node whose
+    letter has been read before that of its parent, which is still to come.
     """
 
     def __init__(self, terms: list[tuple[str, bool, float]]):
@@ -70,8 +75,10 @@ class Lexicon:
         self.children: list[dict[str, int]] = [{}]
         self.term_at: list[int] = [-1]
         self.reach: list[int] = [0]  # edits that the terms below a node allow
+        self.letter: list[str] = [""]
+        self.parent: list[int] = [0]
         for number, (letters, stem, _) in enumerate(terms):
-            node, allowed = 0, 0 if stem else edits_allowed(len(letters))
+            node, allowed = 0, edits_allowed(len(letters))
             for letter in letters:
                 self.reach[node] = max(self.reach[node], allowed)
                 if letter not in self.children[node]:
@@ -79,6 +86,8 @@ class Lexicon:
                     self.children.append({})
                     self.term_at.append(-1)
                     self.reach.append(0)
+                    self.letter.append(letter)
+                    self.parent.append(node)
                 node = self.children[node][letter]
             self.reach[node] = max(self.reach[node], allowed)
             self.term_at[node] = number
@@ -88,40 +97,54 @@ class Lexicon:
     def _forget(self) -> None:
         self.steps: list[dict[str, int]] = []
         self.hits: list[list[tuple[int, int]]] = []
-        self.stem: list[int] = []
-        self.number: dict[frozenset, int] = {}
+        self.stem: list[tuple[int, int]] = []
+        self.number: dict[tuple, int] = {}
         self.sets: list[frozenset] = []
-        self._state({0: 0})
+        self._state({0: 0}, (-1, 0))
 
-    def _state(self, row: dict[int, int]) -> int:
-        """The number of the state with these nodes; a missing letter is an edit too."""
-        waiting = list(row)
+    def _state(self, row: dict[int, int], stem: tuple[int, int]) -> int:
+        """The number of the state with these nodes, in which the stem has just ended; a
+        missing letter is an edit too."""
+        waiting = [node for node in row if node >= 0]
         while waiting:
             node = waiting.pop()
             for child in self.children[node].values():
                 if row[node] < self.reach[child] and row[node] + 1 < row.get(child, 99):
                     row[child] = row[node] + 1
                     waiting.append(child)
-        key = frozenset(row.items())
+        key = (frozenset(row.items()), stem)
         if key not in self.number:
             self.number[key] = len(self.sets)
-            self.sets.append(key)
+            self.sets.append(key[0])
             self.steps.append({})
-            ends = [(self.term_at[n], e) for n, e in row.items() if self.term_at[n] >= 0]
-            self.hits.append([(t, e) for t, e in ends if not self.terms[t][1]])
-            self.stem.append(max((t for t, e in ends if self.terms[t][1] and e == 0), default=-1))
+            self.hits.append([(self.term_at[n], e) for n, e in row.items() if n >= 0 and self.term_at[n] >= 0])
+            self.stem.append(stem)
         return self.number[key]
 
     def _step(self, state: int, letter: str) -> int:
         row: dict[int, int] = {}
+        in_place: dict[int, int] = {}  # nodes whose own letter was read, so that a stem may end
+
+        def reach(node: int, target: int, edits: int, exact: bool) -> None:
+            if edits <= self.reach[target]:
+                row[node] = min(edits, row.get(node, edits))
+                if exact:
+                    in_place[node] = min(edits, in_place.get(node, edits))
+
         for node, edits in self.sets[state]:
+            if node < 0:  # the second of two exchanged letters
+                if letter == self.letter[self.parent[~node]]:
+                    reach(~node, ~node, edits, True)
+                continue
             for own, child in self.children[node].items():
-                after = edits + (own != letter)
-                if after <= self.reach[child] and after < row.get(child, 99):
-                    row[child] = after
-            if edits < self.reach[node] and edits + 1 < row.get(node, 99):  # a letter too many
-                row[node] = edits + 1
-        return self._state(row) if row else -1
+                reach(child, child, edits + (own != letter), own == letter)
+                after = self.children[child].get(letter) if own != letter else None
+                if after is not None:
+                    reach(~after, after, edits + 1, False)
+            reach(node, node, edits + 1, False)  # a letter too many
+        ends = [(edits, -self.terms[self.term_at[n]][2], self.term_at[n]) for n, edits in in_place.items() if self.term_at[n] >= 0]
+        ends = [e for e in ends if self.terms[e[2]][1] and e[0] <= stem_edits(len(self.terms[e[2]][0]))]
+        return self._state(row, (min(ends)[2], min(ends)[0]) if ends else (-1, 0)) if row else -1
 
     def match(self, word: str) -> tuple[int, int]:
         """Number of the nearest term and its distance, or (-1, 0)."""
@@ -138,22 +161,25 @@ class Lexicon:
     def _search(self, word: str) -> tuple[int, int]:
         if len(self.sets) > MAX_STATES:
             self._forget()
+        near = []  # (edits, -log-odds, term)
         state = 0
         for letter in word:
             after = self.steps[state].get(letter)
             if after is None:
                 after = self.steps[state][letter] = self._step(state, letter)
             if after < 0:
-                return (-1, 0)
-            if self.stem[after] >= 0:  # whatever follows a stem belongs to it
-                return (self.stem[after], 0)
+                break
+            term, edits = self.stem[after]
+            if term >= 0:  # whatever follows a stem belongs to it
+                near.append((edits, -self.terms[term][2], term))
             state = after
-        allowed = edits_allowed(len(word))
-        near = [
-            (edits, -self.terms[term][2], term)
-            for term, edits in self.hits[state]
-            if edits <= min(allowed, edits_allowed(len(self.terms[term][0])))
-        ]
+        else:
+            allowed = edits_allowed(len(word))
+            near += [
+                (edits, -self.terms[term][2], term)
+                for term, edits in self.hits[state]
+                if edits <= min(allowed, edits_allowed(len(self.terms[term][0])))
+            ]
         return (min(near)[2], min(near)[0]) if near else (-1, 0)
 
 
@@ -162,16 +188,24 @@ def edits_allowed(length: int) -> int:
     return 0 if length < 5 else 1 if length < 9 else 2
 
 
+def stem_edits(length: int) -> int:
+    """A stem that any ending may follow makes other words sooner."""
+    return edits_allowed(length - 1)
+
+
 def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
 FEATURES = 8
+#: Where a row of features has the logarithms of 1 + the numbers of hits.
+ABUSE, QUOTATION = 1, 4
 
 
 def features(lexicon: Lexicon, text: str) -> list[float]:
-    """Counts and log-odds of hits, for abuse and for quotation, and their density."""
-    abuse = quoted = exact = fuzzy = 0
+    """Logarithms of counts and log-odds of hits, for abuse and for quotation, and the
+    density of abuse."""
+    abuse = quoted = fuzzy = 0
     abuse_odds = quoted_odds = best = 0.0
     hits = []
     tokens = [(m.group(), m.start()) for m in _WORD.finditer(text.lower())] if lexicon.terms else []
@@ -189,15 +223,15 @@ def features(lexicon: Lexicon, text: str) -> list[float]:
             abuse += 1
             abuse_odds += odds
             best = max(best, odds)
-            exact, fuzzy = exact + (edits == 0), fuzzy + (edits > 0)
+            fuzzy += edits > 0
     return [
         1.0,
-        min(abuse, 8) / 4,
-        min(abuse_odds, 40.0) / 10,
+        math.log1p(abuse),
+        math.log1p(abuse_odds),
         best / 5,
-        min(quoted, 8) / 4,
-        min(quoted_odds, 40.0) / 10,
-        min(fuzzy, 8) / 4,
+        math.log1p(quoted),
+        math.log1p(quoted_odds),
+        math.log1p(fuzzy),
         10 * abuse / (len(tokens) + 10),
     ]
 
@@ -219,8 +253,9 @@ _REPORTING = frozenset(REPORTING)
 
 def learn_lexicon(counts: dict[str, list[int]], totals: list[int]) -> Lexicon:
     """Terms from the numbers of texts of label 0 and 1 that hold each word or stem;
-    stems are written with a star. The strongest terms stay, stems before the words
-    that they cover."""
+    stems are written with a star. The strongest terms stay; of stems that begin alike the
+    stronger one, and words also beside the stem that covers them, as a whole word is
+    found with more edits."""
     scored = []
     for term, (clean, toxic) in counts.items():
         if toxic >= LEAST_TEXTS:
@@ -233,7 +268,7 @@ def learn_lexicon(counts: dict[str, list[int]], totals: list[int]) -> Lexicon:
     for _, letters, stem, odds in scored:
         if len(terms) >= TERMS:
             break
-        if letters not in terms and not any(letters.startswith(s) for s in stems):
+        if letters not in terms and not (stem and any(letters.startswith(s) for s in stems)):
             terms[letters] = (letters, stem, odds)
             if stem:
                 stems.append(letters)
@@ -335,12 +370,18 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> list[float]:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> DataFrame:
-    """text, toxic of the labelled training rows with the least hashes of their ids.
-    The ids are cut to ``limit`` before they meet the texts."""
+    """text, toxic of the labelled training rows with the least hashes of their ids,
+    ``limit`` at most. Ids and hashes of texts are cut before the texts move."""
     usable = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").filter(crc_bucket("doc_id", 4) != 2)
-    chosen = usable.select("doc_id", F.col("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(limit)
-    # SAMPLE rows of two numbers, so the texts stay where they are.
-    return documents.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    by_hash = F.xxhash64("doc_id")
+    chosen = usable.select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct().orderBy(by_hash, "doc_id", "toxic").limit(limit)
+    texts = documents.select("doc_id", whole_text().alias("text"))
+    # Both broadcasts are ``limit`` rows of two or three numbers at most. An id with many
+    # texts or both labels has as many rows, so that it is cut again.
+    known = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", F.xxhash64("text").alias("content")).distinct()
+    known = known.orderBy(by_hash, "doc_id", "content", "toxic").limit(limit)
+    hashed = texts.withColumn("content", F.xxhash64("text")).join(F.broadcast(known), ["doc_id", "content"])
+    return hashed.groupBy("doc_id", "content", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
 
 
 def score(documents: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
@@ -356,7 +397,8 @@ def score(documents: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",
         for batch in text_chunks(batches, f"k{place}"):
             x = np.array([features(lexicon, t or "") for t in batch.column(place).to_pylist()])
             scores = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-            added = [pa.array(scores), pa.array((x[:, 1] * 4).astype(int)), pa.array((x[:, 4] * 4).astype(int))]
+            hits = [pa.array(np.rint(np.expm1(x[:, i])).astype(np.int64)) for i in (ABUSE, QUOTATION)]
+            added = [pa.array(scores), *hits]
             own = batch.columns[: len(keep)]
             yield pa.RecordBatch.from_arrays([*own, *added], names=[*batch.schema.names[: len(keep)], "score", "abuse", "quotation"])
 

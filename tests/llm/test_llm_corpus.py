@@ -1,6 +1,7 @@
 """Near duplicates, lines, mixing, toxicity, preferences, search and the pipeline."""
 
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -14,7 +15,7 @@ from pairclf.llm.components import components
 from pairclf.llm.line_templates import drop_recurring_lines
 from pairclf.llm.mixing import mix, route, source_targets
 from pairclf.llm.preferences import conversations, format_preferences, with_foreign_replies, with_next
-from pairclf.llm.toxicity import Lexicon, edits_allowed, features
+from pairclf.llm.toxicity import Lexicon, Model, edits_allowed, features, labelled_sample, learn_lexicon, score, stem_edits
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -298,31 +299,83 @@ def test_mix_of_overlapping_sources_meets_the_quotas(spark):
     assert {r["doc_id"]: r["taken"] for r in again} == {r["doc_id"]: r["taken"] for r in mixed}
 
 
-def test_automaton_finds_terms_within_the_edits():
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            row, last = [i, *row[1:]], row
-            for j, y in enumerate(b, 1):
-                row[j] = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
-        return row[-1]
-
-    terms = ["idiot", "worthless", "scum", "pathetic"]
-    lexicon = Lexicon([(t, False, 3.0) for t in terms])
-    random.seed(6)
-    for _ in range(3000):
-        word = list(random.choice(terms))
-        for _ in range(random.randint(0, 3)):
-            at = random.randrange(len(word) + 1)
-            word[at : at + random.randint(0, 1)] = random.choice(["", "i", "s", "t"])
-        word = "".join(word)
-        near = {
-            t: d for t in terms
-            if (d := distance(word, t)) <= min(edits_allowed(len(t)), edits_allowed(len(word)))
-        }
-        term, edits = lexicon.match(word)
-        assert (term >= 0) == bool(near) and (not near or edits == min(near.values()))
-    assert Lexicon([("lowei", True, 3.0)]).match("loweichen") == (0, 0)
+def distance(a, b):
+    """Insertions, deletions, other letters and exchanges of neighbours that lead from a to b."""
+    rows = [list(range(len(b) + 1))]
+    for i, x in enumerate(a, 1):
+        rows.append([i])
+        for j, y in enumerate(b, 1):
+            best = min(rows[i - 1][j] + 1, rows[i][j - 1] + 1, rows[i - 1][j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                best = min(best, rows[i - 2][j - 2] + 1)
+            rows[i].append(best)
+    return rows[-1][-1]
+
+
+def stem_distance(word, stem):
+    """The least distance of a beginning of the word whose last letter is in its place."""
+    found = [99]
+    for n in range(1, len(word) + 1):
+        if word[n - 1] == stem[-1]:
+            found.append(distance(word[: n - 1], stem[:-1]))
+        if n > 1 and word[n - 2 : n] == stem[:-3:-1] and word[n - 2] != word[n - 1]:
+            found.append(distance(word[: n - 2], stem[:-2]) + 1)
+    return min(found)
+
+
+@pytest.mark.parametrize("stems", [(), ("idiot", "worthles"), ("scum", "patheti", "worthlessne", "pathos")])
+def test_automaton_finds_terms_within_the_edits(stems):
+    terms = [(t, False, 3.0 + n) for n, t in enumerate(["idiot", "worthless", "scum", "pathetic"]) if t not in stems]
+    terms += [(t, True, 5.0 + n) for n, t in enumerate(stems)]
+    lexicon = Lexicon(terms)
+    rng = random.Random(6)
+    for _ in range(4000):
+        word = list(rng.choice(terms)[0])
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(word) + 1)
+            word[at : at + rng.randint(0, 1)] = rng.choice(["", "i", "s", "t"])
+            if rng.random() < 0.4 and len(word) > 1:
+                at = rng.randrange(len(word) - 1)
+                word[at : at + 2] = word[at : at + 2][::-1]
+        word = "".join(word) + rng.choice(["", "", "ness", "ic"])
+        near = []
+        for number, (letters, stem, odds) in enumerate(terms):
+            if (d := distance(word, letters)) <= min(edits_allowed(len(letters)), edits_allowed(len(word))):
+                near.append((d, -odds, number))
+            if stem and (d := stem_distance(word, letters)) <= stem_edits(len(letters)):
+                near.append((d, -odds, number))
+        assert lexicon.match(word) == ((min(near)[2], min(near)[0]) if near else (-1, 0)), word
+
+
+def test_misspelled_stems_are_found_and_other_words_are_not():
+    lexicon = Lexicon([("idiot", True, 5.0), ("worthles", True, 4.0), ("stupi", True, 3.0)])
+    assert lexicon.match("idiotically") == (0, 0) and lexicon.match("worthlessness") == (1, 0)
+    assert lexicon.match("idoit") == lexicon.match("idlot") == (0, 1)
+    assert lexicon.match("wrothlessness") == lexicon.match("worhlessness") == (1, 1)
+    for word in ("studies", "studio", "idiom's", "worth", "patriot"):
+        assert lexicon.match(word)[0] < 0
+
+
+def test_words_stay_beside_the_stem_that_covers_them():
+    counts = {"mor*": [0, 60], "moron": [0, 50], "moro*": [0, 55], "morning": [50, 5], "rare": [0, 3]}
+    terms = {(t, stem) for t, stem, _ in learn_lexicon(counts, [100, 100]).terms}
+    assert terms == {("mor", True), ("moron", False)}
+
+
+def test_hits_are_counted_without_a_limit(spark):
+    df = spark.createDataFrame([(1, "idiot " * 5000 + 'he said "idiot"'), (2, "calm"), (3, None)], "doc_id bigint, text string")
+    rows = {r["doc_id"]: r for r in score(df, Model([("idiot", False, 5.0)], [-1.0] + [0.1] * 7)).collect()}
+    assert [(rows[i]["abuse"], rows[i]["quotation"]) for i in (1, 2, 3)] == [(4995, 6), (0, 0), (0, 0)]  # five words before "said"
+
+
+def test_sample_has_no_more_rows_than_its_limit(spark):
+    docs = spark.createDataFrame([(i % 3, f"text {i // 2}") for i in range(400)], "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([(i, t) for i in (0, 1, 2) for t in (0, 1, 1)], "doc_id bigint, toxic int")
+    usable = [i for i in (0, 1, 2) if zlib.crc32(str(i).encode()) % 4 != 2]
+    whole = {(f"text {i // 2}", i % 3, t) for i in range(400) if i % 3 in usable for t in (0, 1)}
+    assert labelled_sample(docs, labels).count() == len(whole)
+    first = sorted(map(tuple, labelled_sample(docs, labels, 10).collect()))
+    assert len(first) == 10 and first == sorted(map(tuple, labelled_sample(docs.repartition(7), labels, 10).collect()))
 
 
 def test_quoted_terms_are_no_abuse():
