@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -45,7 +46,7 @@ LEAST_ENDINGS = 6
 #: Words to either side that tell quotation from abuse.
 WINDOW = 6
 #: Words that a worker remembers with their matches.
-CACHED_WORDS = 150_000
+CACHED_WORDS = 50_000
 #: States of the automaton that a worker keeps.
 MAX_STATES = 50_000
 
@@ -96,10 +97,10 @@ class Lexicon:
 
     def _forget(self) -> None:
         self.steps: list[dict[str, int]] = []
-        self.hits: list[list[tuple[int, int]]] = []
+        self.hits: list[tuple[tuple[int, int], ...]] = []
         self.stem: list[tuple[int, int]] = []
         self.number: dict[tuple, int] = {}
-        self.sets: list[frozenset] = []
+        self.sets: list[bytes] = []  # node * 4 + edits, as 32-bit integers
         self._state({0: 0}, (-1, 0))
 
     def _state(self, row: dict[int, int], stem: tuple[int, int]) -> int:
@@ -112,12 +113,12 @@ class Lexicon:
                 if row[node] < self.reach[child] and row[node] + 1 < row.get(child, 99):
                     row[child] = row[node] + 1
                     waiting.append(child)
-        key = (frozenset(row.items()), stem)
+        key = (array("i", sorted(node * 4 + edits for node, edits in row.items())).tobytes(), stem)
         if key not in self.number:
             self.number[key] = len(self.sets)
             self.sets.append(key[0])
             self.steps.append({})
-            self.hits.append([(self.term_at[n], e) for n, e in row.items() if n >= 0 and self.term_at[n] >= 0])
+            self.hits.append(tuple((self.term_at[n], e) for n, e in row.items() if n >= 0 and self.term_at[n] >= 0))
             self.stem.append(stem)
         return self.number[key]
 
@@ -131,7 +132,8 @@ class Lexicon:
                 if exact:
                     in_place[node] = min(edits, in_place.get(node, edits))
 
-        for node, edits in self.sets[state]:
+        for packed in array("i", self.sets[state]):
+            node, edits = packed >> 2, packed & 3
             if node < 0:  # the second of two exchanged letters
                 if letter == self.letter[self.parent[~node]]:
                     reach(~node, ~node, edits, True)
