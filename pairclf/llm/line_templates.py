@@ -2,14 +2,21 @@
 
 Lines are masked: words with digits are variable fields, unless a line would have few
 other words. The tree has a fixed depth: the number of tokens, then the leading tokens.
-Within a leaf, lines of up to ``LOG_TOKENS`` tokens are generalised: a place of the line
+Within a leaf, lines are generalised: a place of the line
 that few of the leaf's distinct lines agree on is a variable field as well, if enough
 places, and half of those after the leading ones, are constant. Lines that this does not
 fit are split by two of the tokens that they share with others, at a third and two thirds
 by frequency, into two groups each, as one may be a field. Each group is generalised by
 itself, until no two lines are left together, so a leaf may hold many templates among
-other lines. A line takes its template of the most lines. Longer lines are prose and
-stand for themselves.
+other lines. A line takes its template of the most lines.
+
+Two tokens may miss the group that a line fits into, and lines of a group may have fields
+in other places. So for each line that ends up alone an exact search by the rarest tokens
+(see ``alike``) finds lines of its leaf that agree with it in enough places, if there are
+any. Lines alone that were found to agree, also by way of others, are one class; it takes
+the template of the most lines among those that any of them was found to agree with, else
+one of its own. So each line that agrees with any other shares its template with one that
+it agrees with.
 
 A template recurs if it is in two or more distinct texts that are not copies of each
 other (``SHORT_TEXTS`` or more, if it has fewer than ``SHORT`` tokens; a line of one
@@ -36,7 +43,8 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import write_table
+from ..session import new_table_path, write_table
+from .components import components
 
 # White space within a line.
 BLANK = r"\x20\x09\x0B-\x0D"
@@ -46,8 +54,8 @@ FIELD = "<*>"
 DIGITS = f"(?<![^{BLANK}])[^{BLANK}0-9]*+[0-9][^{BLANK}]*+"
 #: Leading tokens that the tree looks at.
 DEPTH = 3
-#: Lines of more tokens are prose.
-LOG_TOKENS = 40
+#: Most tokens of a line that is generalised; None: any number.
+LOG_TOKENS: int | None = None
 #: Templates of fewer tokens need as many texts.
 SHORT = 4
 SHORT_TEXTS = 10
@@ -61,22 +69,32 @@ ENDS_AND_BODY = ("head", "body", "tail")
 KNOWN_BY = ("template", *ENDS_AND_BODY)
 COPY = 0.5
 OWN = 0.2
+#: Comparisons of lines that stand against one further key that would part them.
+DIRECT = 4096
 
 
-def _lines(documents: DataFrame, identity: str, text: str) -> DataFrame:
-    """content, id, at, size, leaf, line, head, body, tail, tokens: a row for each line. Lines
-    are masked as a whole and split into tokens once."""
-    rows = documents.filter(F.col(text).isNotNull() & (F.col(text) != "")).select(
-        F.md5(F.col(text).cast("binary")).alias("content"), F.col(identity).alias("id"), F.split(F.col(text), "\n", -1).alias("lines")
-    )
-    each = rows.select("content", "id", F.posexplode("lines").alias("at", "raw"))
+def _texts(documents: DataFrame, text: str, *columns: Column) -> DataFrame:
+    """content (hash of the text) and ``columns`` of texts with any line."""
+    rows = documents.filter(F.col(text).isNotNull() & (F.col(text) != ""))
+    return rows.select(F.md5(F.col(text).cast("binary")).alias("content"), *columns)
+
+
+def _with_tokens(each: DataFrame) -> DataFrame:
+    """``each`` with size and tokens of the lines ``raw``, masked as a whole and split once;
+    blank lines go."""
     each = each.withColumn("raw", F.btrim("raw", F.lit(" \t\x0b\x0c\r"))).filter("raw <> ''")
     with_digits = F.regexp_replace("raw", DIGITS, FIELD)
     each = each.withColumn("masked", F.when(F.col("raw").rlike("[0-9]"), with_digits).otherwise(F.col("raw")))
     each = each.withColumn("tokens", F.split("masked", SPACES)).withColumn("size", F.size("tokens"))
     # A line of fields alone, such as a row of numbers, is no template.
     few = (F.col("masked") != F.col("raw")) & (F.size(F.array_remove("tokens", FIELD)) < CONSTANT * F.col("size"))
-    each = each.withColumn("tokens", F.when(few, F.split("raw", SPACES)).otherwise(F.col("tokens")))
+    return each.withColumn("tokens", F.when(few, F.split("raw", SPACES)).otherwise(F.col("tokens")))
+
+
+def _lines(documents: DataFrame, identity: str, text: str) -> DataFrame:
+    """content, id, at, size, leaf, line, head, body, tail: a row for each line."""
+    rows = _texts(documents, text, F.col(identity).alias("id"), F.split(F.col(text), "\n", -1).alias("lines"))
+    each = _with_tokens(rows.select("content", "id", F.posexplode("lines").alias("at", "raw")))
     return each.select(
         "content", "id", "at", "size",
         F.xxhash64("size", F.slice("tokens", 1, DEPTH)).alias("leaf"),
@@ -85,10 +103,29 @@ def _lines(documents: DataFrame, identity: str, text: str) -> DataFrame:
         F.when(F.col("size") > 2 * ENDS, F.hash(F.slice("tokens", ENDS + 1, F.greatest(F.lit(0), F.col("size") - 2 * ENDS))))
         .otherwise(F.hash("tokens")).alias("body"),
         F.hash(F.slice("tokens", -F.least("size", F.lit(ENDS)), ENDS)).alias("tail"),
-        F.when(F.col("size") <= LOG_TOKENS, F.col("tokens")).alias("tokens"),
     )
 
 
+def _leaf_lines(lines: DataFrame, documents: DataFrame, text: str) -> DataFrame:
+    """leaf, line, tokens: the distinct lines of the leaves that hold several. Their tokens
+    are read from one place of each; those of other lines are never held."""
+    if LOG_TOKENS is not None:
+        lines = lines.filter(F.col("size") <= LOG_TOKENS)
+    ends = lines.groupBy("leaf").agg(F.min("line").alias("least"), F.max("line").alias("greatest"))
+    leaves = write_table(ends.filter("least <> greatest").select("leaf"), "leaves")
+    places = lines.join(leaves, "leaf", "left_semi").groupBy("leaf", "line").agg(F.min(F.struct("content", "at")).alias("place"))
+    wanted = places.groupBy(F.col("place.content").alias("content")).agg(
+        F.collect_list(F.struct("leaf", "line", F.col("place.at").alias("at"))).alias("wanted")
+    )
+    wanted = write_table(wanted, "wanted-lines")
+    found = _texts(documents, text, F.col(text).alias("text")).join(wanted, "content")
+    found = found.select(F.split("text", "\n", -1).alias("lines"), "wanted").select("lines", F.explode("wanted").alias("place"))
+    found = found.select("place.leaf", "place.line", F.col("lines")[F.col("place.at")].alias("raw"))
+    # Copies of a text give the same line again.
+    found = found.groupBy("leaf", "line").agg(F.first("raw").alias("raw"))
+    return _with_tokens(found).select("leaf", "line", "tokens")
+
+
 def of_unlike_texts(inside: DataFrame, once: DataFrame) -> DataFrame:
     """template: those of ``inside`` (template, content, first) that a text holds which
     is no copy of the first text. Pairs of texts are compared once for all templates."""
@@ -125,12 +162,11 @@ def of_unlike_texts(inside: DataFrame, once: DataFrame) -> DataFrame:
     return sides.filter(unlike).select(F.explode("templates").alias("template")).distinct()
 
 
-def generalised(lines: DataFrame) -> DataFrame:
-    """line, template: for lines that a leaf or a group of it generalises. Distinct lines
-    are counted, not the rows, so that a line in a third of all texts is one row here."""
-    distinct = lines.filter("tokens IS NOT NULL").groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
+def generalised(distinct: DataFrame) -> DataFrame:
+    """line, template: for lines that share a template with others. ``distinct`` is
+    :func:`_leaf_lines`, so that a line in a third of all texts is one row here."""
     grouped = write_table(distinct.withColumn("group", F.col("leaf")), "template-lines")
-    found = []
+    found, of_leaves = [], None
     while True:
         sizes = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("variants"), F.bit_xor("line").alias("members"))
         many = grouped.join(sizes.filter(F.col("variants") >= 2), "group")
@@ -143,28 +179,127 @@ def generalised(lines: DataFrame) -> DataFrame:
         places = many.select("group", "line", "variants", F.posexplode("tokens").alias("at", "token"))
         shared = places.groupBy("group", "at", "token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 2)
         shared = places.join(shared, ["group", "at", "token"]).groupBy("group", "line").agg(
-            F.array_sort(F.collect_list(F.struct("n", "at", "token"))).alias("shared")
+            F.sort_array(F.collect_list(F.struct("n", "at", "token"))).alias("shared")
         )
-        constants = F.filter("shared", lambda c: c["n"] >= F.col("variants") * AGREE)
-        held = F.transform(
-            "tokens", lambda t, i: F.when(F.exists("constants", lambda c: c["at"] == i), t).otherwise(F.lit(FIELD))
+        constants = F.transform(
+            F.filter("shared", lambda c: c["n"] >= F.col("variants") * AGREE), lambda c: F.struct(c["at"].alias("at"), c["token"].alias("token"))
         )
+        others = F.array_except(F.sequence(F.lit(0), F.size("tokens") - 1), F.col("constants.at"))
+        fields = F.transform(others, lambda i: F.struct(i.alias("at"), F.lit(FIELD).alias("token")))
+        held = F.transform(F.sort_array(F.concat("constants", fields)), lambda c: c["token"])
         fields = many.join(shared, ["group", "line"]).withColumn("constants", constants).withColumn("held", held)
         size, held_size = F.size("held"), F.size(F.filter("held", lambda t: t != FIELD))
-        further = F.size(F.filter(F.slice("held", DEPTH + 1, LOG_TOKENS), lambda t: t != FIELD))
+        further = F.size(F.filter(F.slice("held", DEPTH + 1, F.size("held")), lambda t: t != FIELD))
         fits = held_size >= CONSTANT * size
         fits = fits & (2 * further >= size - DEPTH) & (F.col("held") != F.col("tokens"))
         fields = write_table(fields.withColumn("fits", fits).drop("constants"), "template-fields")
+        of_leaves = fields if of_leaves is None else of_leaves
         found.append(fields.filter("fits").select("line", F.xxhash64("leaf", "held").alias("template")))
         apart = fields.filter("NOT fits").withColumn("apart", F.filter("shared", lambda c: c["n"] < F.col("variants")))
         two = [F.try_element_at("apart", F.ceil(F.size("apart") * k / 3).cast("int")) for k in (1, 2)]
         apart = apart.filter(F.size("apart") > 0).withColumn("by", F.explode(F.array_distinct(F.array(*two))))
         grouped = apart.select("leaf", "line", "tokens", F.xxhash64("group", "by.at", "by.token").alias("group"))
-    if not found:
-        return distinct.select("line", F.col("line").alias("template")).limit(0)
+    if of_leaves is None:
+        return distinct.select("line", F.col("line").alias("template"))
     fitted = write_table(reduce(DataFrame.unionAll, found).distinct(), "fitted-templates")
     sizes = fitted.groupBy("template").agg(F.count(F.lit(1)).alias("n"))
-    return fitted.join(sizes, "template").groupBy("line").agg(F.max_by("template", F.struct("n", "template")).alias("template"))
+    taken = fitted.join(sizes, "template").groupBy("line").agg(F.max_by("template", F.struct("n", "template")).alias("template"))
+    taken = write_table(taken, "taken-templates")
+    held_by = taken.groupBy("template").agg(F.count(F.lit(1)).alias("held_by")).filter("held_by >= 2")
+    taken = write_table(taken.join(held_by, "template").select("line", "template", "held_by"), "held-templates")
+    return taken.select("line", "template").unionByName(_of_lines_alone(of_leaves, taken))
+
+
+def _of_lines_alone(of_leaves: DataFrame, taken: DataFrame) -> DataFrame:
+    """line, template: for the lines without a row in ``taken`` that agree with another line
+    of their leaf."""
+    leading = F.size(F.filter(F.slice("tokens", 1, DEPTH), lambda t: t != FIELD))
+    size = F.size("tokens")
+    # Least agreement after the leading tokens, as a fit has it.
+    need = F.greatest(F.ceil(CONSTANT * size) - leading, F.ceil((size - DEPTH) / 2)).cast("int")
+    after = F.filter("shared", lambda c: (c["at"] >= DEPTH) & (c["token"] != FIELD))
+    own = of_leaves.withColumn("after", after).select(
+        "leaf", "line", need.alias("need"),
+        F.transform("after", lambda c: F.xxhash64(F.col("leaf"), c["at"], c["token"])).alias("places"),
+        F.aggregate("after", F.lit(0).cast("bigint"), lambda total, c: total + c["n"]).alias("weight"),
+    )
+    own = write_table(own.filter("size(places) >= need"), "lines-by-places")
+    alone = write_table(own.select("line", "leaf").join(taken, "line", "left_anti"), "lines-alone")
+    own = write_table(own.join(alone.select("leaf").distinct(), "leaf", "left_semi"), "lines-to-compare")
+    links = alike(own, alone.select("line"))
+    offers = links.join(taken.withColumnRenamed("line", "other"), "other").select("line", F.struct("held_by", "template").alias("offer"))
+    among = links.join(taken.select(F.col("line").alias("other")), "other", "left_anti")
+    classes = components(among.select(F.col("line").alias("a"), F.col("other").alias("b")))
+    classes = classes.select(F.col("node").alias("line"), "label")
+    rows = offers.unionByName(classes.select("line"), allowMissingColumns=True).groupBy("line").agg(F.max("offer").alias("offer"))
+    rows = write_table(rows.join(classes, "line", "left").withColumn("label", F.coalesce("label", "line")), "offered-templates")
+    best = rows.groupBy("label").agg(F.max("offer").alias("best"))
+    return rows.join(best, "label").select("line", F.coalesce("best.template", "label").alias("template"))
+
+
+def alike(own: DataFrame, alone: DataFrame) -> DataFrame:
+    """line, other: for each line of ``alone`` that shares ``need`` places with any line, links
+    from or to it. ``own`` is leaf, line, need (the same within a leaf), places (those that
+    most lines lack first, in one order for the leaf) and weight (greater for usual lines).
+
+    First the lines of a leaf are compared with its most usual one. For those still alone:
+    of the places that two lines share, the k-th can be followed by ``need - k`` more in
+    either line only if it is among the first ``size - need + k``. So they meet in a cell of
+    their first shared place, and all lines of the cell are compared. Where that takes more
+    than parting them, they are compared with the most usual line of the cell; those still
+    alone meet in a cell of the first two shared places, and so on."""
+    spark = own.sparkSession
+    path = new_table_path(spark, "alike-lines")
+    schema = "line bigint, other bigint"
+    spark.createDataFrame([], schema).write.parquet(path)
+    of_other = own.select(F.col("line").alias("other"), F.col("places").alias("others"))
+
+    def still_alone(pairs: DataFrame, alone: DataFrame) -> DataFrame:
+        """``alone`` without the lines that some of the pairs link, which are written."""
+        both = pairs.filter("line <> other").distinct().join(own.select("line", "need", "places"), "line").join(of_other, "other")
+        same = both.filter(F.size(F.array_intersect("places", "others")) >= F.col("need")).select("line", "other")
+        same = write_table(same, "links-of-lines")
+        same.write.mode("append").parquet(path)
+        linked = same.select("line").union(same.select("other")).distinct()
+        return write_table(alone.join(linked, "line", "left_anti"), "lines-alone")
+
+    usual = own.groupBy("leaf").agg(F.max_by("line", F.struct("weight", "line")).alias("other"))
+    alone = still_alone(own.select("leaf", "line").join(alone, "line", "left_semi").join(usual, "leaf").select("line", "other"), alone)
+    spare = F.size("places") - F.col("need")
+    with_one = own.join(alone, "line", "left_semi").select("leaf").distinct()
+    cells = own.join(with_one, "leaf", "left_semi").select(
+        "line", "need", "weight", spare.alias("spare"), F.posexplode(F.slice("places", 1, spare + 1)).alias("last", "cell")
+    )
+    level = 1
+    while not alone.isEmpty():
+        cells = write_table(cells.join(alone.withColumn("alone", F.lit(True)), "line", "left").fillna(False, ["alone"]), "line-cells")
+        further = F.col("spare") + level - F.col("last")
+        sizes = cells.groupBy("cell").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if("alone").alias("n_alone"), F.sum(further).alias("further"),
+            F.max("need").alias("least"), F.max(F.struct("weight", "line", "alone")).alias("usual"),
+        ).filter("n >= 2 AND n_alone >= 1")
+        few = F.col("n") * F.col("n_alone") <= DIRECT * F.col("further")
+        sizes = write_table(sizes.select("cell", "least", "usual", few.alias("few")), "line-cell-sizes")
+        if sizes.isEmpty():
+            break
+        compared = cells.join(sizes.filter("few").select("cell"), "cell").select("cell", "line", "alone")
+        pairs = compared.filter("alone").select("cell", "line").join(compared.select("cell", F.col("line").alias("other")), "cell")
+        many = sizes.filter("NOT few")
+        with_usual = cells.select("cell", "line", "alone").join(many.select("cell", "usual"), "cell")
+        to_usual = with_usual.filter("alone").select("line", F.col("usual.line").alias("other"))
+        from_usual = with_usual.filter("NOT alone AND usual.alone").select("usual.line", F.col("line").alias("other"))
+        alone = still_alone(pairs.select("line", "other").union(to_usual).union(from_usual), alone)
+        # Lines of a cell that share all the places needed are all alike.
+        parted = many.filter(F.col("least") > level).select("cell")
+        parted = parted.join(cells.join(alone, "line", "left_semi").select("cell").distinct(), "cell", "left_semi")
+        parted = cells.drop("alone").join(parted, "cell").join(own.select("line", "places"), "line")
+        onward = F.posexplode(F.slice("places", F.col("last") + 2, further)).alias("step", "place")
+        parted = parted.select("line", "need", "weight", "spare", "last", "cell", onward)
+        cells = parted.select(
+            "line", "need", "weight", "spare", (F.col("last") + 1 + F.col("step")).alias("last"), F.xxhash64("cell", "place").alias("cell")
+        )
+        level += 1
+    return spark.read.schema(schema).parquet(path)
 
 
 def recurring_lines(documents: DataFrame, identity: str = "doc_id", text: str = "text", least_texts: int = 2) -> DataFrame:
@@ -173,7 +308,7 @@ def recurring_lines(documents: DataFrame, identity: str = "doc_id", text: str =
     # Copies are one text, of the least id; a text is in one row for each of its lines.
     of_line = [F.first(c).alias(c) for c in ("line", *ENDS_AND_BODY, "size")]
     once = lines.groupBy("content", "at").agg(F.min("id").alias("id"), *of_line)
-    general = write_table(generalised(lines), "general-templates")
+    general = write_table(generalised(_leaf_lines(lines, documents, text)), "general-templates")
     once = once.join(general, "line", "left").withColumn("template", F.coalesce("template", "line")).drop("line")
     once = write_table(once, "templates")
     texts = once.filter("size > 1").groupBy("template", "content").agg(F.min("id").alias("id"), F.max("size").alias("size"))

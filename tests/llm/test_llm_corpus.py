@@ -273,6 +273,68 @@ def test_a_leaf_holds_several_templates_among_prose(spark):
         assert cut[i] == (text if i in firsts or i > 10 else "\n".join([own[0], own[2]]))
 
 
+def test_long_lines_are_generalised(spark):
+    names = ["ann", "bob", "cid"]
+    kinds = [letters(60, 7300), letters(300, 7310)]
+    rows = []
+    for i, n in enumerate(names):
+        body = [" ".join([*k[:20], n, *k[20:]]) for k in kinds]
+        rows.append((i, "\n".join([" ".join(letters(200, 7400 + i)), *body, " ".join(letters(200, 7500 + i))])))
+    cut = {r["doc_id"]: r["text"] for r in drop_recurring_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert cut[0] == rows[0][1]
+    for i in (1, 2):
+        own = rows[i][1].split("\n")
+        assert cut[i] == "\n".join([own[0], own[-1]])
+
+
+def agree(a, b):
+    """Whether two lines of a leaf agree in enough places."""
+    same = [x == y != "<*>" for x, y in zip(a, b)]
+    return sum(same) >= 0.6 * len(a) and 2 * sum(same[3:]) >= len(a) - 3
+
+
+@pytest.mark.parametrize("direct", [64, 0])
+def test_no_line_that_agrees_with_another_is_left_alone(spark, monkeypatch, direct):
+    from pairclf.llm import line_templates as lt
+
+    monkeypatch.setattr(lt, "DIRECT", direct, raising=False)
+    rng = random.Random(13)
+    lines = set()
+    for leaf, size, pool in (("a", 12, 3), ("b", 13, 4), ("c", 9, 2), ("d", 16, 12)):
+        for _ in range(60):
+            rest = [f"{w}{rng.randrange(pool)}".replace("0", "z") for w in letters(size - 3, 7700 + size)]
+            lines.add((leaf, "the", "<*>" if leaf == "b" else "old", *rest))
+    # Pairs that agree in places that many other lines share, but few of those with each other.
+    lines = sorted(lines)
+    rows = [(ord(x[0]), n, list(x)) for n, x in enumerate(lines)]
+    df = spark.createDataFrame(rows, "leaf bigint, line bigint, tokens array<string>").repartition(5)
+    found = [(r["line"], r["template"]) for r in lt.generalised(df).collect()]
+    template = dict(found)
+    assert len(template) == len(found)
+    alike = {n: [m for m, y in enumerate(lines) if m != n and len(x) == len(y) and x[:3] == y[:3] and agree(x, y)] for n, x in enumerate(lines)}
+    assert any(alike.values()) and not all(alike.values())
+    for n, others in alike.items():
+        assert any(template.get(n) == template.get(m) is not None for m in others) if others else n not in template
+
+
+@pytest.mark.parametrize("direct", [64, 0])
+def test_no_line_with_a_like_is_missed(spark, monkeypatch, direct):
+    from pairclf.llm import line_templates as lt
+
+    monkeypatch.setattr(lt, "DIRECT", direct)
+    rng = random.Random(14)
+    held = {n: sorted(rng.sample(range(n % 2 * 18, n % 2 * 18 + 18), rng.randrange(7, 11))) for n in range(160)}
+    own = [(n % 2, n, 7, places, 0) for n, places in held.items()]
+    links = lt.alike(
+        spark.createDataFrame(own, "leaf bigint, line bigint, need int, places array<bigint>, weight bigint").repartition(3),
+        spark.createDataFrame([(n,) for n in held if n % 3], "line bigint"),
+    )
+    found = {(r["line"], r["other"]) for r in links.collect()}
+    true = {(a, b) for a in held for b in held if a % 2 == b % 2 and a != b and len({*held[a]} & {*held[b]}) >= 7}
+    assert found <= true
+    assert {n for link in found for n in link if n % 3} == {n for n, _ in true if n % 3}
+
+
 def test_targets_fill_up_to_the_limit_and_share_the_excess():
     targets = source_targets({"a": 10, "b": 1000, None: 1000}, (3, 1, 2), 150, 2)
     assert targets["a"] == 20 and sum(targets.values()) == 3015
