@@ -12,7 +12,7 @@ import corpus_pipeline
 from pairclf.llm import near_duplicates as nd
 from pairclf.llm import top_k as tk
 from pairclf.llm.components import components
-from pairclf.llm.line_templates import drop_recurring_lines
+from pairclf.llm.line_templates import alike, drop_recurring_lines
 from pairclf.llm.mixing import mix, route, source_targets
 from pairclf.llm.preferences import conversations, format_preferences, with_foreign_replies, with_next
 from pairclf.llm.toxicity import Lexicon, Model, edits_allowed, features, labelled_sample, learn_lexicon, score, stem_edits
@@ -335,6 +335,26 @@ def test_no_line_with_a_like_is_missed(spark, monkeypatch, direct):
     assert {n for link in found for n in link if n % 3} == {n for n, _ in true if n % 3}
 
 
+def test_the_search_of_lines_starts_no_python(spark, monkeypatch):
+    rows = [(i, f"{letters(1, 900 + i)[0]} user number {i} logged in from host {letters(1, 950 + i)[0]}") for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expected = {r["doc_id"]: r["text"] for r in drop_recurring_lines(df).collect()}
+
+    def refused(*arguments, **named):
+        raise AssertionError("rows made in Python")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refused)
+    own = df.select(
+        F.col("doc_id").alias("line"), F.lit(0).cast("bigint").alias("leaf"), F.lit(1).alias("need"),
+        F.array(F.lit(7).cast("bigint")).alias("places"), F.col("doc_id").alias("weight"),
+    )
+    links = alike(own, own.filter("line < 3").select("line"))
+    assert dict(links.dtypes) == {"line": "bigint", "other": "bigint"}
+    assert {line for r in links.collect() for line in r} == {0, 1, 2, 7}
+    assert alike(own, own.filter("line < 0").select("line")).count() == 0
+    assert {r["doc_id"]: r["text"] for r in drop_recurring_lines(df).collect()} == expected
+
+
 def test_targets_fill_up_to_the_limit_and_share_the_excess():
     targets = source_targets({"a": 10, "b": 1000, None: 1000}, (3, 1, 2), 150, 2)
     assert targets["a"] == 20 and sum(targets.values()) == 3015
