@@ -294,15 +294,19 @@ def encode_checked(documents: DataFrame, path: str, text: str = "text", keep: tu
 
 
 def _ids_and_check(coder: Codec, texts: list[str]) -> list[pa.Array]:
-    ids, decoded = _ids_and_text(coder, texts)
-    return [ids, pa.array([a == b for a, b in zip(decoded.to_pylist(), texts)], pa.bool_())]
+    ids = [coder.encode(t) for t in texts]
+    return [_id_lists(ids), pa.array([coder.decode(i) == t for i, t in zip(ids, texts)], pa.bool_())]
 
 
 def _ids_and_text(coder: Codec, texts: list[str]) -> list[pa.Array]:
     ids = [coder.encode(t) for t in texts]
+    return [_id_lists(ids), pa.array([coder.decode(i) for i in ids], pa.string())]
+
+
+def _id_lists(ids: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-    values = pa.array(np.concatenate([np.zeros(0, np.uint32), *ids]).astype(np.int32))
-    return [pa.ListArray.from_arrays(pa.array(offsets), values), pa.array([coder.decode(i) for i in ids], pa.string())]
+    values = pa.array(np.concatenate([np.zeros(0, np.uint32), *ids]).view(np.int32))
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
 def _digests(coder: Codec, texts: list[str]) -> list[pa.Array]:

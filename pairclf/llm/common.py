@@ -59,10 +59,14 @@ def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterat
     ship_package(df.sparkSession)
 
     def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Workers outlive their tasks, and those of an executor share its memory with the
+        # JVM; what Arrow holds back goes to the system after each batch of results.
         try:
-            yield from work(batches)
+            for batch in work(batches):
+                yield batch
+                del batch
+                pa.default_memory_pool().release_unused()
         finally:
-            # Workers outlive their tasks; what Arrow holds back goes to the system.
             pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(released, schema)

@@ -13,6 +13,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from pairclf.llm.bpe import Codec, encode_texts, read_spec
+from pairclf.llm.common import map_batches
 from pairclf.llm.lattice_lm import Lattice, words_of
 from pairclf.llm.prefix_hashes import code_points, common_extension, fingerprint, likeness, prefix_array, span_hashes
 from pairclf.llm.queries import QUERIES, VOCABULARY
@@ -66,6 +67,28 @@ def test_encoded_texts_come_back(spark):
     assert rows[1]["decoded"] == "a b" and rows[2]["ids"] == [] and rows[2]["decoded"] == ""
 
 
+def test_workers_give_memory_back_after_each_batch(spark):
+    def work(batches):
+        import pyarrow as pa
+
+        real, calls = pa.default_memory_pool, []
+
+        class Pool:
+            def release_unused(self):
+                calls.append(1)
+
+        pa.default_memory_pool = Pool
+        try:
+            for _ in batches:
+                for _ in range(3):
+                    yield pa.RecordBatch.from_pydict({"calls": pa.array([len(calls)], pa.int64())})
+        finally:
+            pa.default_memory_pool = real
+
+    rows = map_batches(spark.range(1, numPartitions=1), work, "calls bigint").collect()
+    assert [r["calls"] for r in rows] == [0, 1, 2]
+
+
 def test_span_hashes_tell_equal_spans_and_extensions():
     random.seed(4)
     for _ in range(60):
