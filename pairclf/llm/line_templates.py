@@ -39,7 +39,7 @@ Only DataFrame functions are used; texts move once, when lines are dropped.
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -48,6 +48,7 @@ from .components import components
 
 # White space within a line.
 BLANK = r"\x20\x09\x0B-\x0D"
+BLANKS = " \t\x0b\x0c\r"
 SPACES = f"[{BLANK}]+"
 FIELD = "<*>"
 #: A token that holds a digit: scanned from its first character, and once.
@@ -76,25 +77,41 @@ DIRECT = 4096
 def _texts(documents: DataFrame, text: str, *columns: Column) -> DataFrame:
     """content (hash of the text) and ``columns`` of texts with any line."""
     rows = documents.filter(F.col(text).isNotNull() & (F.col(text) != ""))
-    return rows.select(F.md5(F.col(text).cast("binary")).alias("content"), *columns)
+    return rows.select(_content(F.col(text)).alias("content"), *columns)
+
+
+def _content(text: Column) -> Column:
+    """What a text is known by, as bytes: half as long to move and to sort as hex digits."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def _words(line: str) -> Column:
+    """The words of a line that begins and ends with one. A pattern is compiled anew for each
+    line, so it only splits those that have other gaps than single spaces."""
+    other_gaps = reduce(or_, [F.col(line).contains(gap) for gap in ("  ", *BLANKS[1:])])
+    return F.when(other_gaps, F.split(line, SPACES)).otherwise(F.split(line, " "))
 
 
 def _with_tokens(each: DataFrame) -> DataFrame:
     """``each`` with size and tokens of the lines ``raw``, masked as a whole and split once;
     blank lines go."""
-    each = each.withColumn("raw", F.btrim("raw", F.lit(" \t\x0b\x0c\r"))).filter("raw <> ''")
+    raw = F.col("raw")
+    # Trimming by a set of characters looks at all of a line; few lines need it.
+    indented = reduce(or_, [raw.startswith(blank) | raw.endswith(blank) for blank in BLANKS])
+    each = each.withColumn("raw", F.when(indented, F.btrim(raw, F.lit(BLANKS))).otherwise(raw)).filter("raw <> ''")
     with_digits = F.regexp_replace("raw", DIGITS, FIELD)
     each = each.withColumn("masked", F.when(F.col("raw").rlike("[0-9]"), with_digits).otherwise(F.col("raw")))
-    each = each.withColumn("tokens", F.split("masked", SPACES)).withColumn("size", F.size("tokens"))
+    each = each.withColumn("tokens", _words("masked")).withColumn("size", F.size("tokens"))
     # A line of fields alone, such as a row of numbers, is no template.
     few = (F.col("masked") != F.col("raw")) & (F.size(F.array_remove("tokens", FIELD)) < CONSTANT * F.col("size"))
-    return each.withColumn("tokens", F.when(few, F.split("raw", SPACES)).otherwise(F.col("tokens")))
+    return each.withColumn("tokens", F.when(few, _words("raw")).otherwise(F.col("tokens")))
 
 
 def _lines(documents: DataFrame, identity: str, text: str) -> DataFrame:
     """content, id, at, size, leaf, line, head, body, tail: a row for each line."""
     rows = _texts(documents, text, F.col(identity).alias("id"), F.split(F.col(text), "\n", -1).alias("lines"))
-    each = _with_tokens(rows.select("content", "id", F.posexplode("lines").alias("at", "raw")))
+    # Every text has a line. The outer form adds no filter on that, which would split twice.
+    each = _with_tokens(rows.select("content", "id", F.posexplode_outer("lines").alias("at", "raw")))
     return each.select(
         "content", "id", "at", "size",
         F.xxhash64("size", F.slice("tokens", 1, DEPTH)).alias("leaf"),
@@ -176,29 +193,29 @@ def generalised(distinct: DataFrame) -> DataFrame:
         # A split gives every group a token more that all its lines share, so it ends.
         if many.isEmpty():
             break
-        places = many.select("group", "line", "variants", F.posexplode("tokens").alias("at", "token"))
-        shared = places.groupBy("group", "at", "token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 2)
-        shared = places.join(shared, ["group", "at", "token"]).groupBy("group", "line").agg(
-            F.sort_array(F.collect_list(F.struct("n", "at", "token"))).alias("shared")
-        )
-        constants = F.transform(
-            F.filter("shared", lambda c: c["n"] >= F.col("variants") * AGREE), lambda c: F.struct(c["at"].alias("at"), c["token"].alias("token"))
+        # A token in its place of the group is known by a number; it stays with its line.
+        places = many.select("group", "line", F.posexplode("tokens").alias("at", "token"))
+        places = places.select("group", "line", "at", F.xxhash64("group", "at", "token").alias("place"))
+        shared = places.groupBy("place").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 2)
+        shared = places.join(shared, "place").groupBy("group", "line").agg(
+            F.sort_array(F.collect_list(F.struct("n", "at"))).alias("shared")
         )
-        others = F.array_except(F.sequence(F.lit(0), F.size("tokens") - 1), F.col("constants.at"))
-        fields = F.transform(others, lambda i: F.struct(i.alias("at"), F.lit(FIELD).alias("token")))
-        held = F.transform(F.sort_array(F.concat("constants", fields)), lambda c: c["token"])
+        # Stays a column of the table: an expression would be worked out anew for each token.
+        constants = F.filter("shared", lambda c: c["n"] >= F.col("variants") * AGREE)["at"]
+        held = F.transform("tokens", lambda token, i: F.when(F.array_contains("constants", i), token).otherwise(FIELD))
         fields = many.join(shared, ["group", "line"]).withColumn("constants", constants).withColumn("held", held)
         size, held_size = F.size("held"), F.size(F.filter("held", lambda t: t != FIELD))
         further = F.size(F.filter(F.slice("held", DEPTH + 1, F.size("held")), lambda t: t != FIELD))
         fits = held_size >= CONSTANT * size
         fits = fits & (2 * further >= size - DEPTH) & (F.col("held") != F.col("tokens"))
-        fields = write_table(fields.withColumn("fits", fits).drop("constants"), "template-fields")
+        fields = write_table(fields.withColumn("fits", fits), "template-fields")
         of_leaves = fields if of_leaves is None else of_leaves
         found.append(fields.filter("fits").select("line", F.xxhash64("leaf", "held").alias("template")))
         apart = fields.filter("NOT fits").withColumn("apart", F.filter("shared", lambda c: c["n"] < F.col("variants")))
         two = [F.try_element_at("apart", F.ceil(F.size("apart") * k / 3).cast("int")) for k in (1, 2)]
         apart = apart.filter(F.size("apart") > 0).withColumn("by", F.explode(F.array_distinct(F.array(*two))))
-        grouped = apart.select("leaf", "line", "tokens", F.xxhash64("group", "by.at", "by.token").alias("group"))
+        by_token = F.xxhash64("group", "by.at", F.col("tokens")[F.col("by.at")])
+        grouped = apart.select("leaf", "line", "tokens", by_token.alias("group"))
     if of_leaves is None:
         return distinct.select("line", F.col("line").alias("template"))
     fitted = write_table(reduce(DataFrame.unionAll, found).distinct(), "fitted-templates")
@@ -217,10 +234,11 @@ def _of_lines_alone(of_leaves: DataFrame, taken: DataFrame) -> DataFrame:
     size = F.size("tokens")
     # Least agreement after the leading tokens, as a fit has it.
     need = F.greatest(F.ceil(CONSTANT * size) - leading, F.ceil((size - DEPTH) / 2)).cast("int")
-    after = F.filter("shared", lambda c: (c["at"] >= DEPTH) & (c["token"] != FIELD))
+    token = F.col("tokens")
+    after = F.filter("shared", lambda c: (c["at"] >= DEPTH) & (token[c["at"]] != FIELD))
     own = of_leaves.withColumn("after", after).select(
         "leaf", "line", need.alias("need"),
-        F.transform("after", lambda c: F.xxhash64(F.col("leaf"), c["at"], c["token"])).alias("places"),
+        F.transform("after", lambda c: F.xxhash64(F.col("leaf"), c["at"], token[c["at"]])).alias("places"),
         F.aggregate("after", F.lit(0).cast("bigint"), lambda total, c: total + c["n"]).alias("weight"),
     )
     own = write_table(own.filter("size(places) >= need"), "lines-by-places")
@@ -336,7 +354,7 @@ def drop_recurring_lines(
     the numbers of lines and of dropped lines are further columns."""
     found = write_table(recurring_lines(documents, identity, text), "dropped-lines")
     found = found.select(F.col("content").alias("_content"), F.col("dropped").alias("_dropped"))
-    rows = documents.withColumn("_content", F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).join(found, "_content", "left")
+    rows = documents.withColumn("_content", _content(F.coalesce(F.col(text), F.lit("")))).join(found, "_content", "left")
     parts = F.split(F.col(text), "\n", -1)
     left = F.array_join(F.filter(parts, lambda line, i: ~F.array_contains("_dropped", i)), "\n")
     out = rows

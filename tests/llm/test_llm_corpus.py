@@ -1,6 +1,7 @@
 """Near duplicates, lines, mixing, toxicity, preferences, search and the pipeline."""
 
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -355,6 +356,19 @@ def test_the_search_of_lines_starts_no_python(spark, monkeypatch):
     assert {r["doc_id"]: r["text"] for r in drop_recurring_lines(df).collect()} == expected
 
 
+def test_lines_are_split_as_by_the_pattern_and_texts_once(spark):
+    from pairclf.llm import line_templates as lt
+
+    bodies = ["one two", " one  two\t", "one\ttwo\x0bthree", "\x0b\x0cone\rtwo\r", "\r", "a\u00a0b c", "\u3000x y", " \t ", "so x1 two  we", "7 8 9", "7  8\t9"]
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "id bigint, raw string")
+    found = {r["id"]: r["tokens"] for r in lt._with_tokens(df).collect()}
+    expected = {i: re.split("[ \t\x0b-\r]+", b.strip(" \t\x0b\x0c\r")) for i, b in enumerate(bodies) if b.strip(" \t\x0b\x0c\r")}
+    expected[8] = ["so", "<*>", "two", "we"]
+    assert found == expected
+    plan = lt._lines(df, "id", "raw")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(", \n, -1)") == 1
+
+
 def test_targets_fill_up_to_the_limit_and_share_the_excess():
     targets = source_targets({"a": 10, "b": 1000, None: 1000}, (3, 1, 2), 150, 2)
     assert targets["a"] == 20 and sum(targets.values()) == 3015
