@@ -40,9 +40,9 @@ LATIN_NUMBERS = "0-9²³¹¼-¾"
 LATIN_SPACES = "\\x09-\\x0d\\x20\\x85\\xa0"
 
 #: Pieces that a worker remembers; it forgets all of them when there are more.
-CACHED_PIECES = 250_000
+CACHED_PIECES = 100_000
 #: Pairs of tokens that a worker remembers, about 130 bytes each.
-CACHED_PAIRS = 300_000
+CACHED_PAIRS = 120_000
 #: Longer pieces are encoded anew each time.
 CACHED_BYTES = 64
 
@@ -80,8 +80,8 @@ class Vocabulary:
             self.merged[pair] = rank
             if whole not in self.rank:
                 self.rank[whole], self.parts[whole] = rank, pair
-        plain = {b: t for t, b in enumerate(self.token_bytes) if b and t not in self.special.values()}
-        self.plain = plain
+        special = set(self.special.values())
+        plain = {b: t for t, b in enumerate(self.token_bytes) if b and t not in special}
         # A token that its own merges do not give is never in an encoding.
         self.by_bytes = {b: t for b, t in plain.items() if len(b) == 1 or t in self.rank}
         self.shorter = {}  # token -> its longest proper prefix that is a token
@@ -281,7 +281,10 @@ def _encoded(documents, path, text, keep, schema, output) -> DataFrame:
         coder = codec(spec.value)
         for batch in text_chunks(batches):
             columns = batch.columns[:-1] + output(coder, batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], *names])
+            kept_names = batch.schema.names[:-1]
+            del batch  # a slice holds the whole batch that it was cut from
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept_names, *names])
+            del columns
 
     names = [part.split()[0] for part in schema.split(", ")]
     coded = map_batches(rows, work, f"{kept}, {schema}")

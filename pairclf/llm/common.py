@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -54,20 +55,29 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def give_back() -> None:
+    """Memory that Arrow and the C library hold for later goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other C libraries have none
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Run ``work`` over the Arrow batches of every partition, where they lie."""
     ship_package(df.sparkSession)
 
     def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Workers outlive their tasks, and those of an executor share its memory with the
-        # JVM; what Arrow holds back goes to the system after each batch of results.
+        # JVM; what Arrow holds back goes to the system after each batch of results, and what
+        # the C library holds back at the end of a task.
         try:
             for batch in work(batches):
                 yield batch
                 del batch
                 pa.default_memory_pool().release_unused()
         finally:
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return df.mapInArrow(released, schema)
 
@@ -85,3 +95,4 @@ def text_chunks(batches: Iterable[pa.RecordBatch], column: str = "text", chars:
                 start, held = row + 1, 0
         if start < len(lengths):
             yield batch.slice(start)
+        del batch  # not held while the next one is read

@@ -163,6 +163,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ],
             names=["node", "content", "bands", "signature", "shingles"],
         )
+    _word_hashes.clear()  # the worker outlives the task
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import crc_bucket, map_batches, ship_package, text_chunks, whole_text
+from .common import crc_bucket, give_back, map_batches, ship_package, text_chunks, whole_text
 
 #: Labelled rows of the fit at most.
 SAMPLE = 20_000
@@ -423,6 +423,7 @@ def score_column(spark: SparkSession, model: Model, text: str = "text") -> Colum
                 x = np.array([features(lexicon, t) for t in piece.column("text").to_pylist()])
                 parts.append(pa.array(1 / (1 + np.exp(-np.clip(x @ weights, -30, 30))), pa.float64()))
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.float64())
-        pa.default_memory_pool().release_unused()
+        del lexicon
+        give_back()
 
     return scores(whole_text(text))

@@ -9,11 +9,13 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from pairclf.llm import near_duplicates
 from pairclf.llm.bpe import Codec, encode_texts, read_spec
-from pairclf.llm.common import map_batches
+from pairclf.llm.common import map_batches, text_chunks
 from pairclf.llm.lattice_lm import Lattice, words_of
 from pairclf.llm.prefix_hashes import code_points, common_extension, fingerprint, likeness, prefix_array, span_hashes
 from pairclf.llm.queries import QUERIES, VOCABULARY
@@ -89,6 +91,26 @@ def test_workers_give_memory_back_after_each_batch(spark):
     assert [r["calls"] for r in rows] == [0, 1, 2]
 
 
+def test_a_batch_is_not_held_while_the_next_one_is_read():
+    held, before = [], pa.total_allocated_bytes()
+
+    def batches():
+        for _ in range(4):
+            held.append(pa.total_allocated_bytes() - before)
+            yield pa.RecordBatch.from_arrays([pa.array(["x" * 1_000_000])], names=["text"])
+
+    for piece in text_chunks(batches()):
+        assert piece.num_rows == 1
+        del piece
+    assert len(held) == 4 and max(held) < 1_000_000
+
+
+def test_signing_leaves_no_words_in_the_worker():
+    batch = pa.RecordBatch.from_pydict({"node": [1, 2], "text": ["one two three four five six", "two"]})
+    signed = list(near_duplicates._sign(iter([batch])))
+    assert [b.num_rows for b in signed] == [2] and not near_duplicates._word_hashes
+
+
 def test_span_hashes_tell_equal_spans_and_extensions():
     random.seed(4)
     for _ in range(60):
